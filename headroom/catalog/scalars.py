@@ -143,7 +143,7 @@ def clip_metric(spark, folder):
     return panels.supplier_spine(spark, folder).select("server_id", "timestamp", N.clip("cpu_p95", 20.0, 80.0).alias("cpu_p95"))
 
 
-@register("nonfinite_to_null_dropna", sql("metrics", "SELECT server_id, timestamp, mem_p95 / disk_p95 AS ratio FROM metrics WHERE disk_p95 <> 0"), ["ratio"], 4)
+@register("nonfinite_to_null_dropna", sql("metrics", "SELECT server_id, timestamp, mem_p95 / disk_p95 AS ratio FROM metrics WHERE disk_p95 <> 0"), ["ratio"], 8)
 def nonfinite_to_null_dropna(spark, folder):
     d = F.col("disk_p95")
     ratio = F.when(d == 0, F.when(F.col("mem_p95") > 50, F.lit(float("inf"))).otherwise(F.lit(float("nan")))).otherwise(F.col("mem_p95") / F.nullif(d, F.lit(0.0)))

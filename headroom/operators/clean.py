@@ -6,20 +6,20 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.numeric import clip
 from .quantiles import exact_quantiles, melt
+from .rolling import capped, moments, with_chunk_kernel
 from .segments import (
     attach_entity_stats,
     day_position,
     last_before,
     neighbours,
     with_position,
-    with_row_windows,
 )
 
 
@@ -69,12 +69,14 @@ def interpolate_linear(
     date of a gap-free daily panel and saves the numbering pass.
     """
     placed = df.withColumn("_pos", day_position(ts)) if regular else with_position(df, [entity], ts, name="_pos", hours=hours)
-    held = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("_pos").alias("p"))) for c in columns}
+    held = {}
+    for c in columns:
+        held |= {f"v_{c}": F.col(c), f"p_{c}": F.when(F.col(c).isNotNull(), F.col("_pos"))}
     near = neighbours(placed, [entity], ts, held, hours=hours)
     made = {}
     for c in columns:
-        pv, pp = F.col(f"_prev_{c}.v"), F.col(f"_prev_{c}.p")
-        nv, np_ = F.col(f"_next_{c}.v"), F.col(f"_next_{c}.p")
+        pv, pp = F.col(f"_prev_v_{c}"), F.col(f"_prev_p_{c}")
+        nv, np_ = F.col(f"_next_v_{c}"), F.col(f"_next_p_{c}")
         inner = pv + (nv - pv) * ((F.col("_pos") - pp) / (np_ - pp))
         edge = F.coalesce(pv, nv) if edges == "both" else pv
         made[c] = F.when(F.col(c).isNotNull(), F.col(c)).when(pv.isNotNull() & nv.isNotNull(), inner).otherwise(edge)
@@ -121,41 +123,30 @@ def impute_median(df: DataFrame, columns: Sequence[str], entity: str = P.ENTITY,
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in columns}).select(df.columns)
 
 
-def rolling_z(c: str, w, std_floor: float = 1e-9) -> Column:
-    """Deviation from the window mean in window standard deviations; NULL on flat windows."""
-    spread = F.stddev_samp(c).over(w)
-    return (F.col(c) - F.avg(c).over(w)) / F.when(spread > std_floor, spread)
-
-
-def capped(c: str, mean: Column, spread: Column, z: float, std_floor: float = 1e-9) -> Column:
-    """The value pulled back to ``mean +- z * spread`` where it lies beyond."""
-    dev = (F.col(c) - mean) / F.when(spread > std_floor, spread)
-    return F.when(F.abs(dev) > z, mean + F.signum(dev) * z * spread).otherwise(F.col(c))
-
-
 def winsorize_rolling_z(
     df: DataFrame, columns: Sequence[str], entity: str = P.ENTITY, ts: str = P.TS,
     window: int = P.OUTLIER_WINDOW, z: float = P.OUTLIER_Z, regular: bool = False,
 ) -> DataFrame:
     """Cap values far from the trailing window (current row included)."""
-    def cols(spec):
-        w = spec.rowsBetween(-(window - 1), 0)
-        stats = {f"_m_{c}": F.avg(c).over(w) for c in columns} | {f"_s_{c}": F.stddev_samp(c).over(w) for c in columns}
-        return [stats, {c: capped(c, F.col(f"_m_{c}"), F.col(f"_s_{c}"), z) for c in columns}]
+    def kernel(values):
+        return {c: capped(values[c], window, z) for c in columns}
 
-    return with_row_windows(df, [entity], ts, window - 1, cols, regular).select(df.columns)
+    return with_chunk_kernel(df, kernel, columns, columns, window - 1, entity, ts, regular)
 
 
 def rolling_anomaly_score(
     df: DataFrame, columns: Sequence[str], entity: str = P.ENTITY, ts: str = P.TS,
     window: int = P.OUTLIER_WINDOW, regular: bool = False,
 ) -> DataFrame:
-    """Add ``<metric>_anomaly_score``: z against the trailing window, without the cap."""
-    def cols(spec):
-        w = spec.rowsBetween(-(window - 1), 0)
-        return {f"{c}_anomaly_score": rolling_z(c, w) for c in columns}
+    """Add ``<metric>_anomaly_score``: z against the trailing window, without the cap; NULL on flat windows."""
+    def kernel(values):
+        out = {}
+        for c in columns:
+            _, mean, std = moments(values[c], [window])[window]
+            out[f"{c}_anomaly_score"] = (values[c] - mean) / np.where(std > 1e-9, std, np.nan)
+        return out
 
-    return with_row_windows(df, [entity], ts, window - 1, cols, regular)
+    return with_chunk_kernel(df, kernel, columns, [f"{c}_anomaly_score" for c in columns], window - 1, entity, ts, regular)
 
 
 def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
@@ -204,30 +195,36 @@ def quality_flag(df: DataFrame, metric: str, imputed: DataFrame, flagged: str, e
     return both.withColumn("quality_flag", mark).drop("_was_null")
 
 
-def _nearest(receivers: pd.DataFrame, donors: pd.DataFrame, features: list[str], k: int, ts: str) -> pd.DataFrame:
-    """Best ``k`` donors of each receiver and missing column within one block pair."""
-    x, y = receivers[features].to_numpy(float), donors[features].to_numpy(float)
+def _nearest(x: np.ndarray, y: np.ndarray, k: int, step: int = 256) -> tuple[np.ndarray, ...]:
+    """Best ``k`` donor rows of each receiver and missing column within one block pair.
+
+    Returns receiver, column, distance and donor indices; ties go to the earlier donor.
+    """
     xm, ym = ~np.isnan(x), ~np.isnan(y)
-    out = []
-    for i in range(len(x)):
-        seen = ym & xm[i]
-        present = seen.sum(axis=1)
-        gap = np.where(seen, y - np.where(xm[i], x[i], 0.0), 0.0)
+    x0, y0 = np.where(xm, x, 0.0), np.where(ym, y, 0.0)
+    parts = []
+    for at in range(0, len(x), step):
+        part = slice(at, at + step)
+        square = np.zeros((len(x0[part]), len(y)))
+        present = np.zeros_like(square)
+        for j in range(x.shape[1]):
+            both = xm[part, j, None] & ym[None, :, j]
+            square += np.where(both, (x0[part, j, None] - y0[None, :, j]) ** 2, 0.0)
+            present += both
         with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.sqrt(len(features) / present * (gap * gap).sum(axis=1))
-        dist = np.round(dist, 9)
-        for j in np.flatnonzero(~xm[i]):
-            able = np.flatnonzero(ym[:, j] & (present > 0))
-            if not len(able):
-                continue
-            rank = np.lexsort((able, dist[able]))[:k]
-            best = able[rank]
-            out.append(pd.DataFrame({
-                "_rid": receivers["_rid"].iloc[i], "feature": features[j],
-                "_dist": dist[best], "_donor": donors["_rid"].to_numpy()[best], "_value": y[best, j],
-            }))
-    cols = ["_rid", "feature", "_dist", "_donor", "_value"]
-    return pd.concat(out)[cols] if out else pd.DataFrame(columns=cols)
+            dist = np.round(np.sqrt(x.shape[1] / present * square), 9)
+        dist = np.where(present > 0, dist, np.inf)
+        for j in range(x.shape[1]):
+            rows = np.flatnonzero(~xm[part, j])
+            able = np.flatnonzero(ym[:, j])
+            if len(rows) and len(able):
+                d = dist[np.ix_(rows, able)]
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                near = np.take_along_axis(d, best, axis=1)
+                i = np.repeat(rows + at, best.shape[1])
+                ok = np.isfinite(near.ravel())
+                parts.append((i[ok], np.full(ok.sum(), j), near.ravel()[ok], able[best].ravel()[ok]))
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.empty(0, int),) * 4
 
 
 def impute_knn(
@@ -265,9 +262,12 @@ def impute_knn(
         if left.empty or right.empty:
             return pd.DataFrame(columns=schema.names)
         right = right.sort_values("_rid", ignore_index=True)
-        best = _nearest(left, right, features, k, ts)
-        best.insert(0, entity, left[entity].iloc[0])
-        return best
+        y = right[features].to_numpy(float)
+        i, j, dist, d = _nearest(left[features].to_numpy(float), y, k)
+        return pd.DataFrame({
+            entity: left[entity].iloc[0], "_rid": left["_rid"].to_numpy()[i], "feature": np.array(features, dtype=object)[j],
+            "_dist": dist, "_donor": right["_rid"].to_numpy()[d], "_value": y[d, j],
+        }, columns=schema.names)
 
     near = receivers.groupBy(*keys).cogroup(donors.groupBy(*keys)).applyInPandas(compare, schema)
     order = Window.partitionBy(entity, "_rid", "feature").orderBy("_dist", "_donor")

@@ -4,32 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import calendar as C
 from ..functions.numeric import drop_incomplete
-from .clean import capped, interpolate_linear
-from .segments import CHUNK, HALO, attach_by_segment, chunk_window, day_position, open_chunks, running_totals, with_row_windows, with_segment, SEG
+from .clean import interpolate_linear
+from . import rolling as R
+from .rolling import with_chunk_kernel
+from .segments import (
+    CHUNK,
+    HALO,
+    SEG,
+    attach_by_segment,
+    day_position,
+    open_chunks,
+    running_totals,
+    with_row_windows,
+    with_segment,
+)
 
 MAX_CATEGORIES = 500
+STATS = ("mean", "std", "min", "max")
 
 
 def lag_columns(spec: WindowSpec, metrics: Sequence[str], lags: Sequence[int]) -> dict[str, Column]:
     return {f"{m}_lag_{k}d": F.lag(m, k).over(spec) for m in metrics for k in lags}
 
 
-def rolling_columns(
-    spec: WindowSpec, metrics: Sequence[str], windows: Sequence[int], stats: Sequence[str] = ("mean", "std", "min", "max"),
-) -> dict[str, Column]:
-    fn = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    return {
-        f"{m}_roll_{s}_{n}d": fn[s](m).over(spec.rowsBetween(-(n - 1), 0))
-        for m in metrics for n in windows for s in stats
-    }
-
-
 def lag_features(
     df: DataFrame, metrics: Sequence[str] = P.METRICS, lags: Sequence[int] = P.LAGS,
     entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
@@ -40,11 +44,24 @@ def lag_features(
 
 def rolling_stats(
     df: DataFrame, metrics: Sequence[str] = P.METRICS, windows: Sequence[int] = P.WINDOWS,
-    entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
-    stats: Sequence[str] = ("mean", "std", "min", "max"),
+    entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False, stats: Sequence[str] = STATS,
 ) -> DataFrame:
     """Trailing mean, standard deviation, minimum and maximum over rows, from one row on."""
-    return with_row_windows(df, [entity], ts, max(windows) - 1, lambda w: rolling_columns(w, metrics, windows, stats), regular)
+    names = [f"{m}_roll_{s}_{n}d" for m in metrics for n in windows for s in stats]
+    return with_chunk_kernel(
+        df, lambda v: R.rolling(v, metrics, windows, stats), metrics, names, max(windows) - 1, entity, ts, regular)
+
+
+def _full_windows(values, metrics: Sequence[str], windows: Sequence[int], shift: int, name: str, stats: Sequence[str] = ("mean", "std")) -> dict:
+    """Mean and deviation where the window, ending ``shift`` rows before the row, holds no missing value."""
+    out = {}
+    for m in metrics:
+        found = R.moments(R.lagged(values[m], shift) if shift else values[m], windows)
+        for rows, (n, mean, std) in found.items():
+            for s, x in (("mean", mean), ("std", std)):
+                if s in stats:
+                    out[name.format(m=m, s=s, n=rows)] = np.where(n == rows, x, np.nan)
+    return out
 
 
 def rolling_full_window(
@@ -52,17 +69,10 @@ def rolling_full_window(
     entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
 ) -> DataFrame:
     """Rolling mean and deviation only where the window holds as many values as its length."""
-    def cols(spec):
-        out = {}
-        for m in metrics:
-            for n in windows:
-                w = spec.rowsBetween(-(n - 1), 0)
-                full = F.count(m).over(w) == n
-                out[f"{m}_rolling_mean{n}"] = F.when(full, F.avg(m).over(w))
-                out[f"{m}_rolling_std{n}"] = F.when(full, F.stddev_samp(m).over(w))
-        return out
-
-    return with_row_windows(df, [entity], ts, max(windows) - 1, cols, regular)
+    name = "{m}_rolling_{s}{n}"
+    names = [name.format(m=m, s=s, n=n) for m in metrics for n in windows for s in ("mean", "std")]
+    return with_chunk_kernel(
+        df, lambda v: _full_windows(v, metrics, windows, 0, name), metrics, names, max(windows) - 1, entity, ts, regular)
 
 
 def rolling_shifted(
@@ -70,18 +80,13 @@ def rolling_shifted(
     entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
 ) -> DataFrame:
     """Full-window rolling statistics of the rows before the current one."""
-    def cols(spec):
-        out = {}
-        for m in metrics:
-            for n in mean_windows:
-                w = spec.rowsBetween(-n, -1)
-                out[f"{m}_roll_mean_{n}d"] = F.when(F.count(m).over(w) == n, F.avg(m).over(w))
-            for n in std_windows:
-                w = spec.rowsBetween(-n, -1)
-                out[f"{m}_roll_std_{n}d"] = F.when(F.count(m).over(w) == n, F.stddev_samp(m).over(w))
-        return out
+    name = "{m}_roll_{s}_{n}d"
+    names = [f"{m}_roll_{s}_{n}d" for m in metrics for s, ws in (("mean", mean_windows), ("std", std_windows)) for n in ws]
+
+    def kernel(v):
+        return _full_windows(v, metrics, mean_windows, 1, name, ("mean",)) | _full_windows(v, metrics, std_windows, 1, name, ("std",))
 
-    return with_row_windows(df, [entity], ts, max([*mean_windows, *std_windows]), cols, regular)
+    return with_chunk_kernel(df, kernel, metrics, names, max([*mean_windows, *std_windows]), entity, ts, regular)
 
 
 def cumulative_sum(
@@ -122,17 +127,13 @@ def series_features(
     seasonal: bool = True, entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
 ) -> DataFrame:
     """Lags, full-window rolling statistics, quarter end, weekday and month; incomplete rows dropped."""
-    def cols(spec):
-        out = {f"{m}_lag{k}": F.lag(m, k).over(spec) for m in metrics for k in lags}
-        for m in metrics:
-            for n in windows:
-                w = spec.rowsBetween(-(n - 1), 0)
-                full = F.count(m).over(w) == n
-                out[f"{m}_rolling_mean{n}"] = F.when(full, F.avg(m).over(w))
-                out[f"{m}_rolling_std{n}"] = F.when(full, F.stddev_samp(m).over(w))
-        return out
+    name = "{m}_rolling_{s}{n}"
+    names = [f"{m}_lag{k}" for m in metrics for k in lags] + [name.format(m=m, s=s, n=n) for m in metrics for n in windows for s in ("mean", "std")]
+
+    def kernel(v):
+        return {f"{m}_lag{k}": R.lagged(v[m], k) for m in metrics for k in lags} | _full_windows(v, metrics, windows, 0, name)
 
-    out = with_row_windows(df, [entity], ts, max([*lags, *windows]), cols, regular)
+    out = with_chunk_kernel(df, kernel, metrics, names, max([*lags, *windows]), entity, ts, regular)
     if seasonal:
         out = out.withColumns({
             "is_quarter_end": C.is_quarter_end(ts), "day_of_week": C.weekday(ts), "month": F.month(F.to_date(F.col(ts))),
@@ -144,17 +145,17 @@ def legacy_features(
     df: DataFrame, metrics: Sequence[str] = ("cpu_p95", "mem_p95"), entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False,
 ) -> DataFrame:
     """Calendar parts, lags 1/7/30, shifted means 7/30, shifted deviation 7; incomplete rows dropped."""
-    def cols(spec):
-        out = {f"{m}_lag_{k}": F.lag(m, k).over(spec) for m in metrics for k in (1, 7, 30)}
-        for m in metrics:
-            for n, stat, fn in ((7, "mean", F.avg), (30, "mean", F.avg), (7, "std", F.stddev_samp)):
-                w = spec.rowsBetween(-n, -1)
-                out[f"{m}_roll_{stat}_{n}"] = F.when(F.count(m).over(w) == n, fn(m).over(w))
-        return out
+    name = "{m}_roll_{s}_{n}"
+    names = [f"{m}_lag_{k}" for m in metrics for k in (1, 7, 30)]
+    names += [f"{m}_roll_{s}" for m in metrics for s in ("mean_7", "mean_30", "std_7")]
+
+    def kernel(v):
+        out = {f"{m}_lag_{k}": R.lagged(v[m], k) for m in metrics for k in (1, 7, 30)}
+        return out | _full_windows(v, metrics, (7, 30), 1, name, ("mean",)) | _full_windows(v, metrics, (7,), 1, name, ("std",))
 
     d = F.to_date(F.col(ts))
     parts = {"day_of_week": C.weekday(ts), "month": F.month(d), "quarter": F.quarter(d), "day_of_year": F.dayofyear(d), "is_weekend": C.is_weekend(ts)}
-    return drop_incomplete(with_row_windows(df, [entity], ts, 30, cols, regular).withColumns(parts))
+    return drop_incomplete(with_chunk_kernel(df, kernel, metrics, names, 30, entity, ts, regular).withColumns(parts))
 
 
 def feature_matrix(
@@ -166,42 +167,50 @@ def feature_matrix(
     """The full feature table of a gap-free daily panel.
 
     Imputation, capping, calendar, lags, rolling statistics, trend and one-hot columns, then the
-    warm-up rows are dropped. Capping and all lag/rolling columns share one shuffle: the chunks
-    carry enough earlier rows for both. Metadata is joined last, so that the chunk totals behind
-    the running sums reuse that shuffle.
+    warm-up rows are dropped. Capping, lags, rolling statistics and the running sums within a
+    chunk share one shuffle: chunks carry enough earlier rows for all of them. The running sums
+    across chunks come from a table with one row per chunk.
     """
+    metrics = list(metrics)
     filled = interpolate_linear(daily.select(entity, ts, *metrics), metrics, entity, ts, regular=True)
-    lookback = max([*lags, *[n - 1 for n in windows]]) + outlier_window - 1
-    open_ = open_chunks(filled, day_position(ts), lookback)
-    spec = chunk_window([entity], [ts])
-    near = spec.rowsBetween(-(outlier_window - 1), 0)
-    stats = {f"_m_{c}": F.avg(c).over(near) for c in metrics} | {f"_s_{c}": F.stddev_samp(c).over(near) for c in metrics}
-    held = open_.withColumns(stats).withColumns({c: capped(c, F.col(f"_m_{c}"), F.col(f"_s_{c}"), outlier_z) for c in metrics})
-    held = held.drop(*stats)
-
-    totals = held.filter(~F.col(HALO)).groupBy(entity, CHUNK).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in metrics]
-    )
+    longest = max([*lags, *windows])
+    chunked = open_chunks(filled, day_position(ts), longest + outlier_window - 1)
+    chunked = chunked.withColumn("_own", F.when(F.col(HALO), 0.0).otherwise(1.0))
+
+    def totals(v):
+        held = {m: R.capped(v[m], outlier_window, outlier_z) for m in metrics}
+        return {f"_t_{m}": np.where(v["_own"] > 0, held[m], np.nan) for m in metrics}
+
+    sums = R.over_chunks(chunked, entity, ts, [*metrics, "_own"], [f"_t_{m}" for m in metrics], totals, [entity, CHUNK])
+    per = sums.groupBy(entity, CHUNK).agg(F.count(F.lit(1)).cast("double").alias("_n"), *[F.sum(f"_t_{m}").alias(f"_t_{m}") for m in metrics])
     before = Window.partitionBy(entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        entity, CHUNK, F.sum("_n").over(before).alias("_n"), *[F.sum(f"_t_{c}").over(before).alias(f"_t_{c}") for c in metrics]
-    )
-
-    upto = spec.rowsBetween(Window.unboundedPreceding, 0)
-    own = ~F.col(HALO)
-    made = lag_columns(spec, metrics, lags) | rolling_columns(spec, metrics, windows)
-    made |= {f"{c}_cumulative": F.sum(F.when(own, F.col(c))).over(upto) for c in metrics}
-    made["_row"] = F.sum(F.when(own, 1).otherwise(0)).over(upto)
-    wide = attach_by_segment(held.withColumns(made).filter(own), carried, [entity, CHUNK])
-    wide = wide.withColumns({f"{c}_cumulative": F.col(f"{c}_cumulative") + F.coalesce(F.col(f"_t_{c}"), F.lit(0.0)) for c in metrics})
-    warm = wide.filter(F.col("_row") + F.coalesce(F.col("_n"), F.lit(0)) > max([*lags, *windows]))
+    earlier = ["_n", *[f"_t_{m}" for m in metrics]]
+    carried = per.select(entity, CHUNK, *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in earlier])
+    # the earlier totals join the narrow rows, on the partitioning the kernel needs anyway
+    chunked = attach_by_segment(chunked, carried, [entity, CHUNK])
+
+    names = [*metrics, *[f"{m}_lag_{k}d" for m in metrics for k in lags]]
+    names += [f"{m}_roll_{s}_{n}d" for m in metrics for n in windows for s in STATS]
+    names += [f"{m}_cumulative" for m in metrics]
+
+    def kernel(v):
+        own = v["_own"]
+        held = {m: R.capped(v[m], outlier_window, outlier_z) for m in metrics}
+        out = dict(held) | {f"{m}_lag_{k}d": R.lagged(held[m], k) for m in metrics for k in lags}
+        out |= R.rolling(held, metrics, windows, STATS)
+        out |= {f"{m}_cumulative": np.cumsum(np.where(own > 0, held[m], 0.0)) + v[f"_t_{m}"] for m in metrics}
+        complete = np.cumsum(own) + v["_n"] > longest
+        for x in list(out.values()):
+            complete &= np.isfinite(x)
+        return out | {R.ROWS: complete}
+
+    out = R.over_chunks(chunked, entity, ts, [*metrics, "_own", *earlier], names, kernel, [entity, ts])
     first = daily.agg(F.min(F.to_date(F.col(ts)))).scalar()
-    out = warm.withColumns({
+    out = out.withColumns({
         "day_of_week": C.weekday(ts), "month": F.month(F.to_date(F.col(ts))), "is_weekend": C.is_weekend(ts),
         "is_eoq_window": C.eoq_window(ts), "is_holiday": C.is_holiday(ts),
         "days_since_start": F.datediff(F.to_date(F.col(ts)), first),
-    }).drop(HALO, CHUNK, "_row", "_n", *[f"_t_{c}" for c in metrics])
-    out = drop_incomplete(out)
+    })
     if metadata is None:
         return out
     labels = [c for c in metadata.columns if c != entity]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from .quantiles import exact_quantiles, melt, quantile_columns
+from .segments import segment_of
 
 _AGGREGATES = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum, "count": F.count}
 
@@ -21,8 +22,13 @@ def entity_days(df: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> DataFr
 
 
 def fill_calendar(daily: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
-    """Add the missing days of a daily table (unique entity and day) as NULL rows."""
-    return entity_days(daily, entity, ts).join(daily, [entity, ts], "left").select(daily.columns)
+    """Add the missing days of a daily table (unique entity and day) as NULL rows.
+
+    The axis grows out of one small row per entity, so the rows are spread by entity and time
+    segment afterwards: the series operators that follow need them there anyway.
+    """
+    full = entity_days(daily, entity, ts).join(daily, [entity, ts], "left").select(daily.columns)
+    return full.repartition(F.col(entity), segment_of(ts))
 
 
 def resample_daily(

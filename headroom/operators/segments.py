@@ -191,8 +191,7 @@ def with_row_windows(
     else:
         open_, by = open_chunks(with_position(df, entity, ts, order, "_pos", hours), "_pos", lookback, rows), ["_pos"]
     made = columns(chunk_window(entity, by))
-    for stage in made if isinstance(made, list) else [made]:
-        open_ = open_.withColumns(stage)
+    open_ = open_.withColumns(made)
     return close_chunks(open_).drop("_pos")
 
 

@@ -33,7 +33,7 @@ DF_CRITICAL_5PCT = -2.86
 # ever holds a whole entity; a year and a half of daily rows is far below one task's memory.
 SEGMENT_HOURS = 512 * 24
 # Rows per chunk when windows run on row positions.
-CHUNK_ROWS = 1024
+CHUNK_ROWS = 2048
 # Copies of a per-entity statistic when it is joined back to rows of that entity.
 SALTS = 8
 # A side is only broadcast by hand when a counted bound shows it has at most this many rows.

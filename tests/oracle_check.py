@@ -37,7 +37,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
