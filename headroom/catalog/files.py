@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
+from ..functions.sizing import scratch
 from ..operators import regularise, validate
 from ..sources import files as S
 from ..sources import panels
@@ -18,16 +16,6 @@ _PANEL_SCHEMA = (
 )
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder for written files: beside the session's shared checkpoints where there are any."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/headroom-{name}-{os.urandom(6).hex()}"
-
-
 @register("scan_parquet", "SELECT l_orderkey, l_suppkey, l_shipdate, l_quantity FROM lineitem")
 def scan_parquet(spark, folder):
     return S.read_panel(spark, f"{folder}/lineitem.parquet", "parquet").select("l_orderkey", "l_suppkey", "l_shipdate", "l_quantity")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sizing import scratch, stored
 from ..operators import evaluate, forecast, joins
 from ..operators.validate import describe_stats
 from ..sources import panels
 from .base import CUT, register, sql
-from .files import scratch
 from .shared import cpu_panel, forecasts
 
 _FC = ["actual", "predicted", "yhat_lower", "yhat_upper"]
@@ -81,13 +81,18 @@ def describe_by_model(spark, folder):
     return describe_stats(forecasts(spark, folder), ["predicted"], ["model"])
 
 
-def _trees(spark, folder, kind: str):
-    """Fit on every training row; the rows are stored first, because fitting reads them many times."""
-    from ..functions.sizing import checkpointed
+_FITTED: dict[tuple, object] = {}
+
 
-    rows = checkpointed(forecast.tree_rows(cpu_panel(spark, folder), "cpu_p95", CUT))
-    model = forecast.tree_model(kind, *TREE_SIZE[kind]).fit(rows.filter("part = 'train'"))
-    return rows, model
+def _trees(spark, folder, kind: str):
+    """Rows to score and the fitted model; a model is fitted once per session and folder."""
+    panel = cpu_panel(spark, folder)
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _FITTED:
+        # fitting reads its table many times, so it is stored first
+        train = stored(forecast.tree_training(panel, "cpu_p95", CUT), "tree-training")
+        _FITTED[key] = forecast.tree_model(kind, *TREE_SIZE[kind]).fit(train)
+    return forecast.tree_rows(panel, "cpu_p95", CUT), _FITTED[key]
 
 
 # trees and depth; the same as the library's defaults
@@ -196,8 +201,8 @@ def best_model(spark, folder):
     return evaluate.best_model(evaluate.error_metrics(forecasts(spark, folder, forecast.MODELS), digits=False))
 
 
-@register("improvement_over_baseline", sql("forecast5", f"""WITH m AS (SELECT model, avg(mae) AS score FROM ({_MEANS}) GROUP BY 1)
-    SELECT model, score, ((SELECT score FROM m WHERE model = 'baseline') - score) / (SELECT score FROM m WHERE model = 'baseline') * 100 AS improvement_pct FROM m"""), ["score", "improvement_pct"])
+@register("improvement_over_baseline", sql("forecast5", f"""SELECT * FROM (WITH m AS (SELECT model, avg(mae) AS score FROM ({_MEANS}) GROUP BY 1)
+    SELECT model, score, ((SELECT score FROM m WHERE model = 'baseline') - score) / (SELECT score FROM m WHERE model = 'baseline') * 100 AS improvement_pct FROM m)"""), ["score", "improvement_pct"])
 def improvement_over_baseline(spark, folder):
     return evaluate.improvement_over_baseline(evaluate.error_metrics(forecasts(spark, folder, forecast.MODELS), digits=False))
 
@@ -216,10 +221,10 @@ _CUTS = ("1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01")
 _FOLDS = " UNION ALL ".join(f"SELECT {i + 1} AS fold, DATE '{c}' AS cut" for i, c in enumerate(_CUTS))
 
 
-@register("rolling_origin_eval", sql("cpu", f"""WITH f AS ({_FOLDS}), t AS (SELECT server_id, fold, isodow(timestamp) AS d, avg(cpu_p95) AS m, count(*) AS n FROM cpu, f WHERE timestamp < cut GROUP BY 1, 2, 3),
+@register("rolling_origin_eval", sql("cpu", f"""SELECT * FROM (WITH f AS ({_FOLDS}), t AS (SELECT server_id, fold, isodow(timestamp) AS d, avg(cpu_p95) AS m, count(*) AS n FROM cpu, f WHERE timestamp < cut GROUP BY 1, 2, 3),
     g AS (SELECT server_id, fold FROM t GROUP BY 1, 2 HAVING sum(n) >= 365)
     SELECT server_id, fold, {_ERR}, {_SMAPE} FROM (SELECT c.server_id, f.fold, c.cpu_p95 AS actual, t.m AS predicted FROM cpu c, f JOIN g ON g.server_id = c.server_id AND g.fold = f.fold
-    JOIN t ON t.server_id = c.server_id AND t.fold = f.fold AND t.d = isodow(c.timestamp) WHERE c.timestamp >= f.cut AND c.timestamp < f.cut + 90) GROUP BY 1, 2"""), ["mae", "rmse", "smape"])
+    JOIN t ON t.server_id = c.server_id AND t.fold = f.fold AND t.d = isodow(c.timestamp) WHERE c.timestamp >= f.cut AND c.timestamp < f.cut + 90) GROUP BY 1, 2)"""), ["mae", "rmse", "smape"])
 def rolling_origin_eval(spark, folder):
     return evaluate.error_metrics(forecast.rolling_origin(cpu_panel(spark, folder), "cpu_p95", _CUTS), ["server_id", "fold"], digits=False)
 

@@ -45,36 +45,29 @@ def eoq_window(
     return flag(F.month(d).isin(*months) & (F.dayofmonth(d) >= length - days + 1))
 
 
-def _fixed_date_holiday(d: Column) -> Column:
-    m, n = F.month(d), F.dayofmonth(d)
-    # fixed values: US federal holidays on fixed dates
-    return (
-        ((m == 1) & (n == 1))
-        | ((m == 6) & (n == 19) & (F.year(d) >= 2021))
-        | ((m == 7) & (n == 4))
-        | ((m == 11) & (n == 11))
-        | ((m == 12) & (n == 25))
-    )
-
-
-def _floating_holiday(d: Column) -> Column:
-    m, n, w = F.month(d), F.dayofmonth(d), F.weekday(d)
-    # fixed values: US federal holidays on the k-th or last weekday of a month
-    monday = (
-        (m.isin(1, 2) & n.between(15, 21))
-        | ((m == 5) & (n >= 25))
-        | ((m == 9) & (n <= 7))
-        | ((m == 10) & n.between(8, 14))
-    )
-    return ((w == 0) & monday) | ((w == 3) & (m == 11) & n.between(22, 28))
+# fixed values: US federal holidays as month * 100 + day, on fixed dates and on the k-th or last weekday
+_FIXED = (101, 704, 1111, 1225)
+_MONDAYS = ((115, 121), (215, 221), (525, 531), (901, 907), (1008, 1014))
+_THURSDAYS = ((1122, 1128),)
+# the weekdays that stand in for a fixed date on a weekend: Friday before, Monday after
+_FRIDAY_BEFORE = (1231, 703, 1110, 1224)
+_MONDAY_AFTER = (102, 705, 1112, 1226)
+_JUNE_SINCE, _JUNE_DAY = 2021, 619
 
 
 def is_holiday(ts: Column | str) -> Column:
-    """1 on US federal holidays and on the weekday a weekend holiday is observed on."""
+    """1 on US federal holidays and on the weekday a weekend holiday is observed on.
+
+    Set membership of one small number keeps the generated code short.
+    """
     d = day(ts)
-    observed_before = (F.weekday(d) == 4) & _fixed_date_holiday(F.date_add(d, 1))
-    observed_after = (F.weekday(d) == 0) & _fixed_date_holiday(F.date_sub(d, 1))
-    return flag(_fixed_date_holiday(d) | _floating_holiday(d) | observed_before | observed_after)
+    at, w = F.month(d) * 100 + F.dayofmonth(d), F.weekday(d)
+    days = lambda spans: [n for lo, hi in spans for n in range(lo, hi + 1)]
+    june = (at == _JUNE_DAY) | ((w == 4) & (at == _JUNE_DAY - 1)) | ((w == 0) & (at == _JUNE_DAY + 1))
+    return flag(
+        at.isin(*_FIXED) | ((w == 0) & at.isin(*days(_MONDAYS), *_MONDAY_AFTER)) | ((w == 3) & at.isin(*days(_THURSDAYS)))
+        | ((w == 4) & at.isin(*_FRIDAY_BEFORE)) | ((F.year(d) >= _JUNE_SINCE) & june)
+    )
 
 
 def cyclic_month(ts: Column | str) -> tuple[Column, Column]:

@@ -1,10 +1,11 @@
-"""Checked broadcasts and reliable lineage cuts."""
+"""Checked broadcasts and stored intermediate tables."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -18,15 +19,26 @@ def broadcast_if_small(side: DataFrame, max_rows: int = P.BROADCAST_ROWS) -> Dat
     return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the session names."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="headroom-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for shared intermediate data; a local one only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.gettempdir()
+    return folder.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the shared folder."""
+    return f"{shared_folder(spark)}/headroom-{name}-{os.urandom(6).hex()}"
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table that several branches read to the shared folder and read it back.
+
+    It cuts the lineage, survives lost executors, and later branches read only their columns.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ and every model below is fitted from the cells alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from datetime import date
 
@@ -148,17 +149,22 @@ def coefficients(
     }).drop("_r", "_rr", "_sw", "_first", "_first_y")
 
 
-def _predictions(ts: str, cut: str, z: float) -> dict[str, tuple[Column, Column, Column]]:
+def _additive(ts: str, cut: str) -> Column:
     d = F.to_date(F.col(ts))
-    none = F.lit(None).cast("double")
-    x = F.datediff(d, _cut(cut)).cast("double")
     at = lambda m, k: F.coalesce(F.try_element_at(F.col(m), k), F.lit(0.0))
-    additive = (
-        F.col("intercept") + F.col("slope") * x + at("weekday_effect", C.weekday(d)) + at("month_effect", F.month(d))
+    return (
+        F.col("intercept") + F.col("slope") * F.datediff(d, _cut(cut)).cast("double")
+        + at("weekday_effect", C.weekday(d)) + at("month_effect", F.month(d))
         + F.when(C.eoq_window(d) == 1, F.col("eoq_effect")).otherwise(0.0)
         + F.when(C.is_holiday(d) == 1, F.col("holiday_effect")).otherwise(0.0)
         + F.when(C.weekday(d) >= 5, F.col("weekend_effect")).otherwise(0.0)
     )
+
+
+def _predictions(ts: str, z: float) -> dict[str, tuple[Column, Column, Column]]:
+    d = F.to_date(F.col(ts))
+    none = F.lit(None).cast("double")
+    additive = F.col("_additive")
     band = F.lit(z) * F.col("residual_std")
     ahead = F.datediff(d, F.col("last_train_day")).cast("double")
     return {
@@ -194,7 +200,9 @@ def forecast_table(
     if coef is None:
         coef = coefficients(cells(df, target, cut, alpha, entity, ts), cut, min_rows, alpha, entity)
     rows = targets(df, coef, target, cut, horizon, entity, ts)
-    made = _predictions(ts, cut, P.INTERVAL_Z80)
+    if "additive" in models:
+        rows = rows.withColumn("_additive", _additive(ts, cut))
+    made = _predictions(ts, P.INTERVAL_Z80)
     each = F.explode(F.array(*[
         F.struct(F.lit(m).alias("model"), made[m][0].alias("predicted"), made[m][1].alias("yhat_lower"), made[m][2].alias("yhat_upper"))
         for m in models
@@ -285,14 +293,34 @@ TREE_FEATURES = (
 )
 
 
-def tree_rows(df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
-    """Calendar features plus the server's training mean and weekday mean for train, test and future rows."""
-    cell = cells(df, target, cut, entity=entity, ts=ts)
+def _tree_stats(cell: DataFrame, cut: str, entity: str) -> DataFrame:
     coef = coefficients(cell, cut, entity=entity).select(entity, "train_rows", "last_day", "weekday_mean")
     own = cell.filter("train").groupBy(entity).agg((F.sum("sy") / F.sum("n")).alias("server_mean"))
-    stats = coef.join(own, entity)
-    seen = attach_entity_stats(df.select(entity, F.to_date(F.col(ts)).alias(ts), F.col(target).cast("double").alias("label")), stats, [entity], ts)
-    seen = seen.filter(F.col("train_rows").isNotNull()).withColumn("part", F.when(F.col(ts) < _cut(cut), "train").otherwise("test"))
+    return coef.join(own, entity)
+
+
+def tree_training(df: DataFrame, target: str, cut: str, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+    """Training table of the tree models: one weighted row per cell instead of one per day.
+
+    All days of a cell have the same features, so their mean with their count as weight gives the
+    same splits and leaves while the table stays small however long the history is.
+    """
+    cell = cells(df, target, cut, entity=entity, ts=ts)
+    rows = cell.filter("train AND n > 0").join(_tree_stats(cell, cut, entity), entity)
+    angle = F.lit(2 * math.pi) * F.col("month") / F.lit(12)
+    return rows.select(
+        entity, (F.col("sy") / F.col("n")).alias("label"), F.col("n").cast("double").alias("weight"),
+        F.col("eoq").alias("is_eoq_window"), F.col("holiday").alias("is_holiday"), F.when(F.col("weekday") >= 5, 1).otherwise(0).alias("is_weekend"),
+        F.ceil(F.col("month") / F.lit(3)).cast("int").alias("quarter"), "month", F.sin(angle).alias("month_sin"), F.cos(angle).alias("month_cos"),
+        "server_mean", F.coalesce(F.try_element_at(F.col("weekday_mean"), F.col("weekday")), F.col("server_mean")).alias("weekday_mean_y"),
+    )
+
+
+def tree_rows(df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+    """Calendar features plus the server's training mean and weekday mean for test and future rows."""
+    stats = _tree_stats(cells(df, target, cut, entity=entity, ts=ts), cut, entity)
+    seen = df.filter(F.to_date(F.col(ts)) >= _cut(cut)).select(entity, F.to_date(F.col(ts)).alias(ts), F.col(target).cast("double").alias("label"))
+    seen = attach_entity_stats(seen, stats, [entity], ts).filter(F.col("train_rows").isNotNull()).withColumn("part", F.lit("test"))
     days = F.sequence(F.date_add("last_day", 1), F.date_add("last_day", horizon), F.expr("INTERVAL 1 DAY"))
     ahead = stats.withColumn(ts, F.explode(days)).withColumns({"label": F.lit(None).cast("double"), "part": F.lit("future")})
     rows = seen.unionByName(ahead.select(seen.columns))
@@ -306,7 +334,7 @@ def tree_model(kind: str = "random_forest", trees: int = 150, depth: int | None
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    shape = dict(featuresCol="features", labelCol="label", predictionCol="predicted", seed=seed, maxMemoryInMB=1024)
+    shape = dict(featuresCol="features", labelCol="label", weightCol="weight", predictionCol="predicted", seed=seed, maxMemoryInMB=1024)
     if kind == "random_forest":
         model = RandomForestRegressor(numTrees=trees, maxDepth=depth or 12, minInstancesPerNode=2, featureSubsetStrategy="all", **shape)
     else:
@@ -316,7 +344,7 @@ def tree_model(kind: str = "random_forest", trees: int = 150, depth: int | None
 
 def score_model(model, rows: DataFrame, name: str, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
     """Forecast rows of a fitted tree model for the test and future parts."""
-    out = model.transform(rows.filter(F.col("part") != "train"))
+    out = model.transform(rows)
     none = F.lit(None).cast("double")
     return out.select(
         entity, F.lit(name).alias("model"), ts, F.col("label").alias("actual"), "predicted", none.alias("yhat_lower"),
