@@ -54,17 +54,17 @@ def exact_quantiles(
         rows = data.withColumn("_t", wanted.select("_t").scalar())
     each = rows.select(*keys, "_x", F.explode("_t").alias("_t")).filter(F.col("_x") <= F.col("_t.hi"))
     inside = F.when(F.col("_x") >= F.col("_t.lo"), F.col("_x"))
-    cols = [F.col("_t.prob").alias("prob"), F.col("_t.k").alias("k"), F.col("_t.h").alias("h"), F.col("_t.n").alias("n")]
-    counts = each.select(*keys, *cols, inside.alias("_x")).groupBy(*keys, "prob", "k", "h", "n", "_x").agg(
+    cols = [F.col("_t.prob").alias("prob"), F.col("_t.k").alias("_rk"), F.col("_t.h").alias("_rh"), F.col("_t.n").alias("_rn")]
+    counts = each.select(*keys, *cols, inside.alias("_x")).groupBy(*keys, "prob", "_rk", "_rh", "_rn", "_x").agg(
         F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys, "prob").orderBy(F.col("_x").asc_nulls_first())
     ranked = counts.withColumn("_upto", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first, second = F.col("k"), F.least(F.col("k") + 1, F.col("n") - 1)
+    first, second = F.col("_rk"), F.least(F.col("_rk") + 1, F.col("_rn") - 1)
     covers = lambda r: (F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)
     picked = ranked.groupBy(*keys, "prob").agg(
         F.max(F.when(covers(first), F.col("_x"))).alias("_a"),
         F.max(F.when(covers(second), F.col("_x"))).alias("_b"),
-        F.max("h").alias("_h"), F.max("k").alias("_k"),
+        F.max("_rh").alias("_h"), F.max("_rk").alias("_k"),
     )
     blend = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_h") - F.col("_k"))
     return picked.select(*keys, "prob", blend.alias(name))
