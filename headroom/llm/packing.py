@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizing import stored
 from .common import id_text, text_slices
-from .words_bpe import file_encoder, id_lists
+from .words_bpe import file_encoder, id_column, with_end
 
 CAPACITY = 1024
 PART_PIECES = 16_384
@@ -32,23 +32,22 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, end_id: int, capacity: in
     pieces, so rows that repeat a ``doc_id`` stay apart. One pass, no shuffle.
     """
     content = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one tokenizer file, under 2 MB
-    end = np.array([end_id], dtype="<i4").tobytes()
 
     def encode(batches, content=content):
         encoder, uid = file_encoder(content.value, False), TaskContext.get().partitionId() << 40
         for batch in text_slices(batches):
-            rows, out = [], []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
-                ids += end
-                for k, (start, length) in enumerate(cut_points(len(ids) // 4, capacity)):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((uid, doc, k, start, length, zlib.crc32(piece)))
+            ids, at = with_end(*encoder.encode(batch.column("text")), end_id)
+            raw, rows, out = ids.data.cast("B"), [], []
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                for k, (start, length) in enumerate(cut_points(b - a, capacity)):
+                    rows.append((uid, doc, k, start, length, zlib.crc32(raw[4 * (a + start) : 4 * (a + start + length)])))
+                    out.append(a + start)
                     uid += 1
-                    if keep_ids:
-                        out.append(piece)
             columns = list(zip(*rows, strict=True))
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays + [id_lists(out)] * keep_ids, names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
+            if keep_ids:
+                arrays.append(id_column(ids, np.array([*out, len(ids)])))
+            yield pa.RecordBatch.from_arrays(arrays, names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
     return id_text(docs, id_col, text_col).mapInArrow(encode, PIECES + ", ids array<int>" * keep_ids)
 

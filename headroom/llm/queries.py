@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import bpe_codec, fingerprints, line_dedup, packing, token_files
 from .common import documents
 
+LINE_SQL = r"""
+WITH lines AS (SELECT doc_id, unnest(generate_series(1, len(l))) AS k, unnest(l) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+firsts AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (SELECT doc_id, k, line, coalesce(doc_id <> first, false) AS gone FROM keyed LEFT JOIN firsts USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM marked GROUP BY doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_SQL}
 
 
 def query(fn):
@@ -19,6 +29,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded again: how many ids, and digests of the ids and of the decoded bytes."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = bpe_codec.encode(documents(spark, folder), ranks, public_tokenizers.PATTERN)
+    return bpe_codec.decode(tokens, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe_codec.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, read back: where each starts, its length, the crc32 of its ids."""
@@ -26,6 +45,19 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.with_crc(token_files.read_tokens(spark, path))
 
 
+@query
+def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how like they are."""
+    return fingerprints.fingerprints(documents(spark, folder))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that an earlier document has."""
+    out = line_dedup.drop_lines(documents(spark, folder).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizing import scratch
 from .common import id_text, text_slices
-from .words_bpe import file_encoder, id_lists
+from .words_bpe import file_encoder, id_column, with_end
 
 TOKENS = "doc_id long, part int, row long, before long, n_tokens long, ids array<int>"
 
@@ -26,17 +26,15 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, words: bool, end_id:
     ids come first. Only rows of one Arrow slice and a bounded cache are in memory.
     """
     content = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one tokenizer file, under 2 MB
-    end = np.array([end_id], dtype="<i4").tobytes()
 
     def encode(batches, content=content):
         encoder = file_encoder(content.value, words)
         part, row, before = TaskContext.get().partitionId(), 0, 0
         for batch in text_slices(batches):
-            ids = [x + end for x in encoder.encode(batch.column("text").to_pylist())]
-            n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-            start = before + np.concatenate([[0], np.cumsum(n)[:-1]])
+            ids, at = with_end(*encoder.encode(batch.column("text")), end_id)
+            n, start = np.diff(at), before + at[:-1]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(row + np.arange(len(n))), pa.array(start), pa.array(n), id_lists(ids)],
+                batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(row + np.arange(len(n))), pa.array(start), pa.array(n), id_column(ids, at)],
                 names=["doc_id", "part", "row", "before", "n_tokens", "ids"])
             row, before = row + len(n), int(start[-1] + n[-1])
 

@@ -1,19 +1,18 @@
 """Encoding texts unit by unit: a unit is a word with the white space before it, and most units repeat.
 
 In the split patterns used here a token never reaches from a non-space character into white space, so a
-text may be cut before each run of white space and the units encoded one by one. Each worker encodes a
-unit once and keeps the ids in a bounded cache that is shared by the tasks it runs.
+text may be cut before each run of white space and the units encoded one by one. Each worker keeps the
+ids of pieces in a bounded cache that is shared by the tasks it runs.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import worker_state
 
@@ -22,76 +21,107 @@ SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
-_PAIR = re.compile(f"[{SPACES}][{SPACES}]")
 _UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-_CONTROL = re.compile("[\x1c-\x1f]")
-CACHE_UNITS = 400_000
+CACHE_PIECES = 400_000
 
 
 def units(text: str) -> list[str]:
     """The text cut before every run of white space that follows another character."""
-    if "\0" in text or _PAIR.search(text):
-        return _UNIT.findall(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return _UNIT.findall(text)
 
 
-def split_unit(unit: str, pattern) -> list[str]:
-    """The pattern's matches in one unit; plain words, with or without a mark at the end, need no pattern."""
-    word = unit[1:] if unit[:1] == " " else unit
-    if word.isalpha():
-        return [unit]
-    if word[:-1].isalpha() and word[-1] in ".,":
-        return [unit[:-1], word[-1]]
-    return pattern.findall(unit)
+class Encoder:
+    """Ids of texts: cut into units, units into pre-token pieces, pieces encoded once and kept, up to ``limit``.
 
+    Units and pieces are handled by their distinct values in Arrow; Python sees the distinct pieces, and the
+    units that are not a plain word with at most one mark at its end.
+    """
 
-class Encoder:
-    """Ids of units as little-endian 32-bit bytes. ``encode_pieces`` gives the ids of pre-token pieces."""
+    lead = " "  # may stand before the letters of a plain word
 
-    def __init__(self, limit: int = CACHE_UNITS):
-        self.ids: dict[str, bytes] = {"": b""}
-        self.limit = limit
+    def __init__(self, pattern: str, limit: int = CACHE_PIECES):
+        import regex
 
-    def pieces(self, new: list[str]) -> list[list[str]]:
-        raise NotImplementedError
+        self.pattern = regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+        self.limit = limit
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each piece."""
         raise NotImplementedError
 
-    def whole(self, text: str) -> bytes | None:
-        """Ids of a text that cannot be cut into units; None if it can."""
-        return None
-
-    def cut(self, text: str) -> list[str]:
-        return units(text)
-
-    def learn(self, new: Iterable[str]) -> None:
-        new = list(new)
-        if len(self.ids) + len(new) > self.limit:  # the first half came first and so is the more frequent one
-            for k in list(self.ids)[max(1, self.limit // 2) :]:
-                del self.ids[k]
-        split = self.pieces(new)
-        distinct = list(dict.fromkeys(p for x in split for p in x))
-        got = dict(zip(distinct, self.encode_pieces(distinct), strict=True))
-        self.ids.update(zip(new, (got[x[0]] if len(x) == 1 else b"".join(map(got.__getitem__, x)) for x in split), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [self.whole(t) for t in texts]
-        cut = [self.cut(t) if done is None else () for t, done in zip(texts, out, strict=True)]
-        known = self.ids
-        new = {u for c in cut for u in c if u not in known}
+    def prepared(self, distinct: pa.Array) -> pa.Array:
+        """What is done to units before they are split."""
+        return distinct
+
+    def cut(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """The units of each text; the second array marks texts that ``slow_cut`` must cut instead."""
+        slow = pc.match_substring_regex(texts, f"[{SPACES}][{SPACES}]|\\x00").to_numpy(zero_copy_only=False)
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
+        return pc.split_pattern(marked, "\0"), slow
+
+    slow_cut = staticmethod(units)
+
+    def _split(self, distinct: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """All pieces of the distinct units, unit by unit, dictionary-coded, and how many each unit has."""
+        word = pc.utf8_rtrim(distinct, characters=".,")
+        marks = (pc.binary_length(distinct).to_numpy() - pc.binary_length(word).to_numpy()).astype(np.int64)
+        letters = pc.utf8_ltrim(word, characters=self.lead) if self.lead else word
+        lead = pc.binary_length(word).to_numpy() - pc.binary_length(letters).to_numpy()
+        plain = (marks <= 1) & (lead <= 1) & pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False).astype(bool)
+        odd = [self.pattern.findall(u) for u in distinct.filter(pa.array(~plain)).to_pylist()]
+        count = np.where(plain, 1 + marks, 0)
+        count[~plain] = [len(x) for x in odd]
+        at = np.concatenate([[0], np.cumsum(count)])
+        marked = plain & (marks == 1)
+        source = np.empty(at[-1], np.int64)  # of each piece, its place in: words, marks, pieces of odd units
+        source[at[:-1][plain]] = np.flatnonzero(plain)
+        source[at[:-1][marked] + 1] = len(distinct) + np.flatnonzero(marked)
+        other = np.repeat(~plain, count)
+        source[other] = 2 * len(distinct) + np.arange(int(other.sum()))
+        pool = pa.chunked_array([word, pc.utf8_slice_codeunits(distinct, -1, None), pa.array([p for x in odd for p in x], pa.string())]).combine_chunks()
+        return pool.take(pa.array(source)).dictionary_encode(), count
+
+    def lookup(self, pieces: list[str]) -> list[bytes]:
+        out = list(map(self.known.get, pieces))
+        new = [p for p, ids in zip(pieces, out, strict=True) if ids is None]
         if new:
-            self.learn(new)
-            if not all(u in known for c in cut for u in c):  # the cache was halved: relearn what went
-                more = {u for c in cut for u in c if u not in known}
-                self.learn(more) if len(more) + len(known) <= self.limit else self._beyond(more)
-        get = self.ids.__getitem__
-        return [b"".join(map(get, c)) if done is None else done for c, done in zip(cut, out, strict=True)]
-
-    def _beyond(self, more: set[str]) -> None:
-        limit, self.limit = self.limit, len(self.ids) + len(more)
-        self.learn(more)
-        self.limit = limit
+            got = self.encode_pieces(new)
+            fill = iter(got)
+            out = [next(fill) if ids is None else ids for ids in out]
+            if len(self.known) + len(new) > self.limit:  # the first half came first and so is the more frequent one
+                for k in list(self.known)[self.limit // 2 :]:
+                    del self.known[k]
+            if len(self.known) + len(new) <= self.limit:
+                self.known.update(zip(new, got, strict=True))
+        return out
+
+    def _encode_lists(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        coded = lists.flatten().dictionary_encode()
+        pieces, count = self._split(self.prepared(coded.dictionary))
+        offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+        ids_of = id_lists(self.lookup(pieces.dictionary.to_pylist()))
+        of_unit = ids_of.take(pieces.indices)  # then piece by piece the ids of each distinct unit
+        ends = np.concatenate([[0], np.cumsum(of_unit.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)])
+        of_unit = pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), of_unit.flatten())
+        ids = of_unit.take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)])
+        at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)])
+        return ids.flatten().to_numpy(zero_copy_only=False), ends[at]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, none of which is null, one text after the other, and where each text begins."""
+        lists, slow = self.cut(texts)
+        if not slow.any():
+            return self._encode_lists(lists)
+        mask = pa.array(slow)
+        out: list = [None] * len(texts)
+        for rows, part in ((np.flatnonzero(~slow), lists.filter(pc.invert(mask))),
+                           (np.flatnonzero(slow), pa.array([self.slow_cut(t) for t in texts.filter(mask).to_pylist()], pa.list_(pa.string())))):
+            ids, at = self._encode_lists(part)
+            for k, row in enumerate(rows.tolist()):
+                out[row] = ids[at[k] : at[k + 1]]
+        return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
 
 def _byte_letters() -> dict[int, str]:
@@ -108,40 +138,30 @@ class FileEncoder(Encoder):
     normalises (NFC, lower case) and drops white space.
     """
 
-    def __init__(self, content: str, words: bool, limit: int = CACHE_UNITS):
-        super().__init__(limit)
-        import regex
+    def __init__(self, content: str, words: bool, limit: int = CACHE_PIECES):
+        super().__init__(WORD_PATTERN if words else BYTE_PATTERN, limit)
         from tokenizers import Tokenizer
 
         self.words, self.letters = words, _byte_letters()
-        self.full = Tokenizer.from_str(content)
-        self.full.encode_special_tokens = True
-        self.bare = Tokenizer(self.full.model)
-        self.pattern = regex.compile(WORD_PATTERN if words else BYTE_PATTERN)
-
-    def whole(self, text):
-        # str.split() also cuts at four control characters that the tokenizer keeps
-        if self.words and _CONTROL.search(text):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
-        return None
+        self.lead = "" if words else " "
+        self.bare = Tokenizer(Tokenizer.from_str(content).model)
 
-    def cut(self, text):
-        return text.split() if self.words else units(text)
+    def cut(self, texts):
+        return (pc.ascii_split_whitespace(texts), np.zeros(len(texts), bool)) if self.words else super().cut(texts)
 
-    def pieces(self, new):
-        if self.words:
-            new = unicodedata.normalize("NFC", " ".join(new)).lower().split(" ")
-        return [split_unit(u, self.pattern) for u in new]
+    def prepared(self, distinct):
+        if not self.words or not len(distinct):
+            return distinct
+        # each letter is lowered by itself: no final sigma
+        return pa.array(unicodedata.normalize("NFC", " ".join(distinct.to_pylist())).replace("Σ", "σ").lower().split(" "), pa.string())
 
     def encode_pieces(self, pieces):
         out: list[bytes] = []
         for k in range(0, len(pieces), 50_000):
             part = [p.encode().decode("latin1").translate(self.letters) for p in pieces[k : k + 50_000]]
             got = self.bare.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<i4")
-            ends = np.cumsum(np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(part)) * 4).tolist() if part else []
-            raw, at = ids.tobytes(), 0
-            for end in ends:
+            raw, at = np.array(got.ids, dtype="<i4").tobytes(), 0
+            for end in np.cumsum(np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(part)) * 4).tolist():
                 out.append(raw[at:end])
                 at = end
         return out
@@ -150,19 +170,14 @@ class FileEncoder(Encoder):
 class RankEncoder(Encoder):
     """By a rank file of byte-level BPE."""
 
-    def __init__(self, content: bytes, pattern: str, limit: int = CACHE_UNITS):
-        super().__init__(limit)
+    def __init__(self, content: bytes, pattern: str, limit: int = CACHE_PIECES):
+        super().__init__(pattern, limit)
         import base64
 
-        import regex
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
         self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(pattern)
-
-    def pieces(self, new):
-        return [split_unit(u, self.pattern) for u in new]
 
     def encode_pieces(self, pieces):
         one = self.bpe.encode_ordinary
@@ -180,3 +195,12 @@ def id_lists(encoded: list[bytes]) -> pa.ListArray:
     np.cumsum([len(x) // 4 for x in encoded], out=offsets[1:])
     values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(encoded))])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def with_end(ids: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """``end_id`` after each text's ids."""
+    return np.insert(ids, at[1:], end_id).astype("<i4", copy=False), at + np.arange(len(at))
+
+
+def id_column(ids: np.ndarray, at: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids, pa.int32()))
