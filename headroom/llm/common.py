@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -144,12 +145,114 @@ def shingles(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([value, np.zeros(width, np.uint64)])
     for k in range(width):
         total = np.where(k < have, mix(total * _P + padded[begin + k] + np.uint64(k + 1)), total)
-    # sort within each row, then drop repeats
-    order = np.lexsort((total, row)) if rows > 1 else np.argsort(total)
-    total = total[order]
-    keep = np.ones(len(total), bool)
-    keep[1:] = (total[1:] != total[:-1]) | (row[1:] != row[:-1])
-    return total[keep], np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=rows))]).astype(np.int64)
+    out, sizes = [], np.zeros(rows, np.int64)
+    for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+        own = np.sort(total[a:b])
+        if len(own) > 1:
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+        out.append(own)
+        sizes[k] = len(own)
+    return np.concatenate(out) if out else total, np.concatenate([[0], np.cumsum(sizes)])
+
+
+# Frequency sketches ------------------------------------------------------------------------------
+
+SKETCH_BLOCKS = 64
+
+
+class Sketch:
+    """Counters over hash buckets, kept by a task and sent in compressed blocks."""
+
+    def __init__(self, bits: int):
+        self.bits, self.counts = bits, np.zeros(1 << bits, np.int64)
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.counts += np.bincount((hashes >> np.uint64(64 - self.bits)).astype(np.int64), minlength=len(self.counts))
+
+    def blocks(self) -> tuple[list[int], list[bytes]]:
+        cut = self.counts.reshape(SKETCH_BLOCKS, -1)
+        some = [k for k in range(SKETCH_BLOCKS) if cut[k].any()]
+        return some, [zlib.compress(cut[k].tobytes(), 1) for k in some]
+
+
+def total_sketch(parts: DataFrame, bits: int) -> np.ndarray:
+    """The sum of the ``block, counts`` rows of all tasks: ``2 ** bits`` counters, whatever the size of the table.
+
+    Each block is summed up row by row where its rows meet; the driver gets one row per block.
+    """
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                x = np.frombuffer(zlib.decompress(raw), np.int64)
+                sums[block] = sums[block] + x if block in sums else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=["block", "counts"])
+
+    out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.int64)
+    for r in spread(parts.select("block", "counts"), "block").mapInArrow(add, "block int, counts binary").collect():
+        out[r.block] += np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
+    return out.ravel()
+
+
+class Bitmap:
+    """Bits over hash buckets: what was added answers yes, most else answers no."""
+
+    def __init__(self, bits: int):
+        self.bits, self.there = bits, np.zeros(1 << bits, bool)
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.there[(hashes >> np.uint64(64 - self.bits)).astype(np.int64)] = True
+
+    def blocks(self) -> pa.RecordBatch:
+        cut = np.packbits(self.there).reshape(SKETCH_BLOCKS, -1)
+        some = [k for k in range(SKETCH_BLOCKS) if cut[k].any()]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([zlib.compress(cut[k].tobytes(), 1) for k in some], pa.binary())], names=["block", "bits"])
+
+
+def bitmap(values: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """The packed bits of all hashes that ``hashes`` finds in the batches of ``values``; their size is fixed."""
+    def note(batches):
+        own = Bitmap(bits)
+        for batch in batches:
+            own.add(hashes(batch))
+        yield own.blocks()
+
+    def unite(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                x = np.frombuffer(zlib.decompress(raw), np.uint8)
+                found[block] = found[block] | x if block in found else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in found.values()], pa.binary())], names=["block", "bits"])
+
+    schema = "block int, bits binary"
+    out = np.zeros((SKETCH_BLOCKS, (1 << bits) // 8 // SKETCH_BLOCKS), np.uint8)
+    for r in spread(values.mapInArrow(note, schema), "block").mapInArrow(unite, schema).collect():
+        out[r.block] |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes >> np.uint64(64 - (len(packed) * 8).bit_length() + 1)).astype(np.int64)
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def id_hashes(column: pa.Array) -> np.ndarray:
+    return mix(column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
+
+def sifted(docs: DataFrame, ids: DataFrame, bits: int = 23) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (with ids) in two: rows whose ``doc_id`` may be in ``ids``, and rows whose is not; most texts need not be shuffled then."""
+    packed = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select("doc_id"), lambda b: id_hashes(b.column("doc_id")), bits))
+
+    def part(wanted: bool):
+        def sift(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(in_bitmap(packed.value, id_hashes(batch.column("doc_id"))) == wanted))
+
+        return docs.mapInArrow(sift, docs.schema)
+
+    return part(True), part(False)
 
 
 # Connected components ----------------------------------------------------------------------------

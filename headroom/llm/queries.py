@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, fingerprints, line_dedup, packing, token_files
+from . import bpe_codec, cap_filters, fingerprints, jaccard_join, line_dedup, packing, secret_scan, suffix_dedup, token_files, toxicity
 from .common import documents
 
 LINE_SQL = r"""
@@ -38,6 +38,19 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe_codec.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the size of their set of 5-word shingles and the component that its links reach."""
+    return jaccard_join.similar_sets(documents(spark, folder), width=5, share=(75, 100))
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the bytes of 100-byte strings that also start earlier."""
+    out = suffix_dedup.drop_repeats(documents(spark, folder), width=100)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, read back: where each starts, its length, the crc32 of its ids."""
@@ -51,6 +64,24 @@ def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, folder))
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of all documents; labels of held-out rows are not learned from."""
+    docs = documents(spark, folder)
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model, keep=("doc_id",))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents: counts and digest of the fixed patterns' spans, and all spans."""
+    found = secret_scan.scan(documents(spark, folder).select("doc_id", "text"), keep=("doc_id",))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = secret_scan.joined(F.col("spans"), secret_scan.KINDS[:3])
+    return found.select("doc_id", *map(count, secret_scan.KINDS[:3]), F.sha2(base, 256).alias("base_sha256"), secret_scan.joined(F.col("spans"), secret_scan.KINDS).alias("spans"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that an earlier document has."""
@@ -58,6 +89,12 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors with their links of cosine 0.93 or more within the label, and the component these reach."""
+    return cap_filters.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"), threshold=0.93)
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
