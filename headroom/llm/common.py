@@ -194,6 +194,17 @@ def total_sketch(parts: DataFrame, bits: int) -> np.ndarray:
     return out.ravel()
 
 
+def bucketed(values: np.ndarray, count: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Sorted distinct hashes cut by their high bits: for each bucket all of them, and those counted more than once."""
+    cut = np.searchsorted(values, np.array([k * (2**64 // buckets) for k in range(1, buckets)], np.uint64))
+    parts = [(k, x.astype("<u8").tobytes(), x[c > 1].astype("<u8").tobytes()) for k, (x, c) in enumerate(zip(np.split(values, cut), np.split(count, cut), strict=True)) if len(x)]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "grams", "again"])
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x, "<u8") for x in column.to_pylist())])
+
+
 class Bitmap:
     """Bits over hash buckets: what was added answers yes, most else answers no."""
 

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import stored
-from .common import Sketch, components, id_text, mix, shingles, sifted, text_slices, total_sketch
+from .common import Sketch, bitmap, bucketed, components, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, unpacked
 
 WIDTH = 5
 SHARE = (75, 100)
-SKETCH_BITS = 20
+SKETCH_BITS = 22
+REPEAT_BITS = 25
+BUCKET_BYTES = 64 << 20  # of text behind one bucket of keys
 SIZES = 128  # the largest boundary that is considered
-ROUNDS = 3
+ROUNDS = 2
 _TAG = np.uint64(0x51ED270B35AF1D4B)
 
 
@@ -25,8 +27,8 @@ def least_common(n, share: tuple[int, int] = SHARE):
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
-    """A byte for each counter that grows with its logarithm."""
-    return np.minimum(255, np.round(8 * np.log2(1 + counts))).astype(np.uint8)
+    """A number up to 127 for each counter that grows with its logarithm."""
+    return np.minimum(127, np.round(4 * np.log2(1 + counts))).astype(np.uint8)
 
 
 def boundary(sizes: dict[int, int], counts: np.ndarray, share: tuple[int, int] = SHARE) -> int:
@@ -48,28 +50,29 @@ def boundary(sizes: dict[int, int], counts: np.ndarray, share: tuple[int, int] =
     return min(cost, key=lambda x: (cost[x], x))
 
 
-def set_keys(members: np.ndarray, levels: np.ndarray, light: int, share: tuple[int, int] = SHARE) -> np.ndarray:
-    """The keys under which a set meets all sets that it may link with.
+def in_order(members: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The members as numbers that sort by the corpus frequency of their bucket, rare ones first."""
+    bits = len(levels).bit_length() - 1
+    return np.sort(levels[(members >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | members >> np.uint64(8))
+
 
-    Members are ordered by the corpus frequency of their bucket, rare ones first. Two sets that link share
-    at least one of their first ``tail + 1`` members, and two of their first ``tail + 2``. A set of at most
-    ``light`` members enters all pairs of the latter; larger ones, and those that may link with a larger
-    one, enter the inverted lists of the former.
+def set_keys(members: np.ndarray, levels: np.ndarray, light: int, share: tuple[int, int] = SHARE) -> tuple[np.ndarray, int]:
+    """The keys under which a set meets all sets that it may link with, and the last member among its first ``tail + 1``.
+
+    Two sets that link share at least one of their first ``tail + 1`` members in corpus order, and two of
+    their first ``tail + 2``. A set of at most ``light`` members enters all pairs of the latter; larger
+    ones, and those that may link with a larger one, enter the inverted lists of the former.
     """
     n = len(members)
-    if n < 2:
-        return np.zeros(0, np.uint64)
-    bits = len(levels).bit_length() - 1
-    order = levels[(members >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | members >> np.uint64(8)
     tail = n - least_common(n, share)
-    first = np.sort(order)[: tail + 2]
-    out = []
+    first = in_order(members, levels)[: tail + 2]
+    out = [np.zeros(0, np.uint64)]
     if n >= least_common(light + 1, share):
-        out.append(first[: tail + 1])
+        out.append(mix(first[: tail + 1]))
     if n <= light:
         a, b = np.triu_indices(len(first), 1)
         out.append(mix(first[a] * _TAG + first[b]))
-    return np.concatenate(out)
+    return np.concatenate(out), int(first[tail])
 
 
 def _profile(batches, width: int, bits: int):
@@ -86,25 +89,45 @@ def _profile(batches, width: int, bits: int):
     yield pa.RecordBatch.from_arrays([*none, pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())], names=["doc_id", "content", "n", "set", "block", "counts"])
 
 
-def _entries(batches, width: int, levels, light: int, share):
-    """(key, set, size) of every set once a task, however many copies it has there."""
+def _own_keys(batches, width: int, levels, light: int, share):
+    """For each slice: keys, names, sizes and last members of its sets of two or more members, each set once a task."""
     seen: set[int] = set()
     for batch in text_slices(batches):
         members, at = shingles(batch.column("text"), width)
-        keys, sets, sizes = [], [], []
+        keys, rows = [], []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             own = members[a:b]
             name = xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63
-            if b - a < 2 or name in seen:
-                continue
-            seen.add(name)
-            keys.append(set_keys(own, levels.value, light, share))
-            sets.append(name)
-            sizes.append(b - a)
+            if b - a > 1 and name not in seen:
+                seen.add(name)
+                found, last = set_keys(own, levels.value, light, share)
+                keys.append(found)
+                rows.append((name, b - a, last))
         if keys:
-            count = [len(k) for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(sets, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count))],
-                                             names=["key", "set", "n"])
+            yield keys, rows
+
+
+def _key_buckets(batches, width: int, levels, light: int, share, buckets: int):
+    for keys, _ in _own_keys(batches, width, levels, light, share):
+        yield bucketed(*np.unique(np.concatenate(keys), return_counts=True), buckets)
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """The keys of a bucket that several slices have, or one slice more than once."""
+    keys, count = np.unique(unpacked(table.column("grams")), return_counts=True)
+    found = np.union1d(keys[count > 1], unpacked(table.column("again")))
+    return pa.table({"grams": pa.array([found.tobytes()], pa.binary())})
+
+
+def _entries(batches, width: int, levels, light: int, share, repeated):
+    """A row (set, n, last) for each set, and a row (key, set) for each of its keys that others may have."""
+    for keys, rows in _own_keys(batches, width, levels, light, share):
+        names = np.array([r[0] for r in rows], np.int64)
+        own, flat = np.repeat(names, [len(k) for k in keys]), np.concatenate(keys)
+        kept = in_bitmap(repeated.value, flat)
+        key, owner = flat[kept].view(np.int64), own[kept]
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(owner), pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.int64())], names=["key", "set", "n", "last"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), pa.int64()), pa.array(names), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())], names=["key", "set", "n", "last"])
 
 
 def _linked(batches, width: int, share):
@@ -141,7 +164,8 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     without an id are returned with a null component and link nobody; rows that share an id are judged by
     their own text. Members and sets are compared by 64-bit hashes.
 
-    Equal sets are one node. All sets that meet under a key are candidates. In each of ``rounds`` rounds
+    Equal sets are one node. All sets that meet under a key are candidates, and a pair's texts are only
+    compared if the keys of both leave it possible. In each of ``rounds`` rounds
     every key compares its sets with one of them only, its hub, so a key with a third of all sets costs a
     row for each; what is linked joins components, and keys whose sets are all in one component are done.
     Then all pairs from different components that still share a key are compared, so no link is lost.
@@ -155,26 +179,38 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     light = boundary(sizes, counts, share)
     levels = spark.sparkContext.broadcast(levels_of(counts))  # 2 ** bits bytes
 
-    entries = base.where("doc_id is not null").select("text").mapInArrow(lambda b: _entries(b, width, levels, light, share), "key long, set long, n int")
-    common = entries.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key")
-    shared = stored(entries.join(common, "key").distinct(), "shared")
-
-    # the texts of the sets that meet another one, one document for each
-    involved = stored(shared.select("set").distinct().join(sets.where("doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "content")).alias("one")), "set").select("set", "one.*"), "involved")
-    texts = stored(_texts_of(base, involved), "texts")
-
-    edges, component = None, None
-    left = shared.withColumn("component", F.col("set"))
+    volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, -(-volume // BUCKET_BYTES))
+    texts_only = base.where("doc_id is not null").select("text")
+    packed = texts_only.mapInArrow(lambda b: _key_buckets(b, width, levels, light, share, buckets), "bucket int, grams binary, again binary")
+    repeated = spark.sparkContext.broadcast(bitmap(packed.groupBy("bucket").applyInArrow(_repeated, "grams binary"), lambda b: unpacked(b.column("grams")), REPEAT_BITS))
+    entries = stored(texts_only.mapInArrow(lambda b: _entries(b, width, levels, light, share, repeated), "key long, set long, n long, last long"), "entries")
+    met = entries.where("key is not null").select("key", "set")
+    common = met.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key")
+    shared = stored(met.join(common, "key").distinct(), "shared")
+
+    info = entries.where("key is null").groupBy("set").agg(F.max("n").alias("n"), F.max("last").alias("last"))
+    lists = stored(shared.groupBy("set").agg(F.collect_list("key").alias("keys")).join(info, "set"), "lists")
+    owners = stored(sets.where("doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "content")).alias("one")).select("set", "one.*"), "owners")
+
+    edges, component, texts = None, None, None
+    left = shared.join(lists.select("set", "n"), "set").withColumn("component", F.col("set"))
     for turn in range(rounds + 1):
         if turn < rounds:
-            hub = left.groupBy("key").agg(F.min_by(F.struct("set", "n", "component"), F.xxhash64("set", F.lit(turn))).alias("hub"))
-            pairs = left.join(hub, "key").where(F.col("component") != F.col("hub.component")).where(_may_link(F.col("n"), F.col("hub.n"), share))
-            pairs = pairs.select(F.least("set", "hub.set").alias("a"), F.greatest("set", "hub.set").alias("b"))
+            hub = left.groupBy("key").agg(F.min_by("set", F.xxhash64("set", F.lit(turn))).alias("hub"))
+            hub = hub.join(left.select(F.col("set").alias("hub"), F.col("n").alias("m"), F.col("component").alias("c")).distinct(), "hub")
+            pairs = left.join(hub, "key").where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
+            pairs = pairs.select(F.least("set", "hub").alias("a"), F.greatest("set", "hub").alias("b"))
         else:
             other = left.select("key", F.col("set").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
             pairs = left.join(other, "key").where(F.col("set") < F.col("b")).where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
             pairs = pairs.select(F.col("set").alias("a"), "b")
-        with_texts = (pairs.distinct().join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")), "a")
+        pairs = stored(_possible(pairs.distinct(), lists, light, share), "pairs")
+        wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+        wanted = stored((wanted if texts is None else wanted.join(texts.select("set"), "set", "left_anti")).join(owners, "set"), "wanted")
+        more = stored(_texts_of(base, wanted), "texts")
+        texts = more if texts is None else texts.unionByName(more)
+        with_texts = (pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")), "a")
                       .join(texts.select(F.col("set").alias("b"), F.col("text").alias("b_text")), "b"))
         new = stored(with_texts.mapInArrow(lambda b: _linked(b, width, share), "a long, b long"), "links")
         edges = new if edges is None else edges.unionByName(new)
@@ -192,6 +228,21 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))).alias("component_id"))
 
 
+def _possible(pairs: DataFrame, lists: DataFrame, light: int, share: tuple[int, int]) -> DataFrame:
+    """The pairs whose first members leave room for enough common ones.
+
+    Of two sets take the one whose first members end earlier: those of them that the other set's first
+    members lack are not in the other set at all. Sets that enter subsets are passed on.
+    """
+    side = lambda x: lists.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("last").alias(f"last_{x}"), F.col("keys").alias(f"keys_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    n = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
+    behind = F.ceil(n * share[0] / share[1]) - 1  # members after the first ones
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * share[0] / sum(share))
+    enough = behind + F.size(F.array_intersect("keys_a", "keys_b")) >= needed
+    return both.where((F.least("n_a", "n_b") <= light) | enough).select("a", "b")
+
+
 def _texts_of(base: DataFrame, involved: DataFrame) -> DataFrame:
     """``set, text`` of the documents in ``involved``."""
     maybe, _ = sifted(base.where("doc_id is not null"), involved)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizing import stored
 from .cap_filters import runs
-from .common import _P, _powers, bitmap, column_bytes, id_text, in_bitmap, mix, sifted, spread, text_slices
+from .common import _P, _powers, bitmap, bucketed, column_bytes, id_text, in_bitmap, mix, sifted, spread, text_slices, unpacked
 
 WIDTH = 100
 GRAM = 40
@@ -101,12 +101,8 @@ class Family:
 
 def _heads(batches, buckets: int, width: int, gram: int):
     """For each bucket the heads of a slice, and those of them that it has more than once."""
-    edges = np.array([k * (2**64 // buckets) for k in range(1, buckets)], np.uint64)
     for batch in text_slices(batches):
-        heads, count = np.unique(Anchors(batch.column("text"), width, gram).gram, return_counts=True)
-        cut = np.searchsorted(heads, edges)
-        parts = [(k, x.astype("<u8").tobytes(), x[c > 1].astype("<u8").tobytes()) for k, (x, c) in enumerate(zip(np.split(heads, cut), np.split(count, cut), strict=True)) if len(x)]
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "grams", "again"])
+        yield bucketed(*np.unique(Anchors(batch.column("text"), width, gram).gram, return_counts=True), buckets)
 
 
 def _scanned(batch, level):
@@ -228,7 +224,7 @@ def repeated_spans(base: DataFrame, width: int = WIDTH, gram: int = GRAM, batche
     """
     spark = base.sparkSession
     heads = spark.sparkContext.broadcast(bitmap(
-        repeated_heads(base, width, gram, batches, bucket_bytes), lambda b: np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x, "<u8") for x in b.column("grams").to_pylist())]), REPEAT_BITS))
+        repeated_heads(base, width, gram, batches, bucket_bytes), lambda b: unpacked(b.column("grams")), REPEAT_BITS))
     found = stored(base.mapInArrow(lambda b: _found(b, heads, width, gram), FOUND), "anchors")
     variants = stored(found.where("gram is not null").groupBy("gram", "region").agg(
         F.min("doc_id").alias("first"), F.min_by("lo", "doc_id").alias("lo"), F.min_by("count", "doc_id").alias("count")), "variants")
