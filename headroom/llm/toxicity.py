@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 
 from .common import _LOWER, _P, _powers, column_bytes, id_text, mix, text_slices, worker_state
 
-BITS = 17
+BITS = 18
 FACTORS = 8
 SAMPLE = 12_000
-EPOCHS = 6
-PREFIXES = (5, 6, 7, 8)
+EPOCHS = 12
+PREFIXES = (3, 4, 5, 6, 7, 8)
+LEAST_ROWS = 8
+LEAST_Z = 5.0
 
 _LETTER = np.ones(256, dtype=bool)  # a-z, A-Z and all bytes beyond ASCII
 _LETTER[:128] = False
 _LETTER[65:91] = _LETTER[97:123] = True
 
 
-def terms(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed terms of each row: (row, term, occurrences), rows in order.
+def terms(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed terms of each row: (row, term), rows in order.
 
     Terms are the words (runs of letters, A-Z lower-cased) and, of longer words, their first few bytes,
     which invented and inflected forms share.
@@ -30,7 +32,7 @@ def terms(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, n
     data, offsets = column_bytes(column)
     n = len(data)
     if not n:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 2
     word = _LETTER[data]
     starts, ends = word.copy(), word.copy()
     starts[1:] &= ~word[:-1]
@@ -52,73 +54,83 @@ def terms(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, n
         values.append(mix((sums[stop] - sums[start[own]]) * down[start[own]] * _P + np.uint64(size)))
         rows.append(row[own])
     term = np.concatenate(values) >> np.uint64(64 - bits)
-    key, count = np.unique(np.concatenate(rows).astype(np.uint64) << np.uint64(bits) | term, return_counts=True)
-    return (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64), count
+    key = np.unique(np.concatenate(rows).astype(np.uint64) << np.uint64(bits) | term)
+    return (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def telling(pairs: list[np.ndarray], labels: np.ndarray, bits: int, least_rows: int = LEAST_ROWS, least_z: float = LEAST_Z) -> np.ndarray:
+    """The terms whose share of rows differs between the labels by ``least_z`` standard errors; thousands of others differ by chance."""
+    rows = np.bincount(np.concatenate(pairs), minlength=1 << bits)
+    ones = np.bincount(np.concatenate([p for p, y in zip(pairs, labels, strict=True) if y == 1]), minlength=1 << bits)
+    n1 = labels.sum()
+    n0 = len(labels) - n1
+    share = rows / len(labels)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+    return np.flatnonzero((rows >= least_rows) & (np.abs(ones / n1 - (rows - ones) / n0) >= least_z * error))
 
 
 class FactorizationMachine:
-    """``bias + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j`` through the logistic function."""
+    """``bias + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j`` through the logistic function; ``x_i`` says that the term is there.
+
+    Only the terms in ``ids`` count; the others' weights and factors are zero.
+    """
 
-    def __init__(self, bias: float, w: np.ndarray, v: np.ndarray):
-        self.bias, self.w, self.v = bias, w, v
+    def __init__(self, bits: int, bias: float, ids: np.ndarray, w: np.ndarray, v: np.ndarray):
+        self.bits, self.bias, self.ids, self.w, self.v = bits, bias, ids, w, v
+        self.place = np.full(1 << bits, -1)
+        self.place[ids] = np.arange(len(ids))
 
     def to_bytes(self) -> bytes:
-        return np.concatenate([[self.bias, self.v.shape[1]], self.w, self.v.ravel()]).astype("<f4").tobytes()
+        return np.concatenate([[self.bits, self.bias, len(self.ids)], self.ids, self.w, self.v.ravel()]).astype("<f8").tobytes()
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> FactorizationMachine:
-        x = np.frombuffer(raw, "<f4")
-        k = int(x[1])
-        size = (len(x) - 2) // (k + 1)
-        return cls(float(x[0]), x[2 : 2 + size], x[2 + size :].reshape(size, k))
-
-    @staticmethod
-    def weight(count: np.ndarray) -> np.ndarray:
-        return 1 + np.log(count)
-
-    def logits(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
-        x = self.weight(count)
-        out = self.bias + np.bincount(row, self.w[term] * x, rows)
-        for f in range(self.v.shape[1]):
-            vx = self.v[term, f] * x
-            out += 0.5 * (np.bincount(row, vx, rows) ** 2 - np.bincount(row, vx * vx, rows))
-        return out
-
-    def scores(self, row, term, count, rows: int) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(row, term, count, rows), -30, 30)))
+        x = np.frombuffer(raw, "<f8")
+        n = int(x[2])
+        return cls(int(x[0]), float(x[1]), x[3 : 3 + n].astype(np.int64), x[3 + n : 3 + 2 * n], x[3 + 2 * n :].reshape(n, -1) if n else np.zeros((0, 1)))
+
+    def logits(self, row: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
+        """``at`` are places in ``ids``."""
+        v = self.v[at]
+        total = np.stack([np.bincount(row, v[:, f], rows) for f in range(v.shape[1])], 1)
+        return self.bias + np.bincount(row, self.w[at], rows) + 0.5 * ((total**2).sum(1) - np.bincount(row, (v * v).sum(1), rows))
+
+    def scores(self, row: np.ndarray, term: np.ndarray, rows: int) -> np.ndarray:
+        at = self.place[term]
+        z = self.logits(row[at >= 0], at[at >= 0], rows)
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     @classmethod
-    def fit(cls, docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int, factors: int, epochs: int, rate: float = 0.1, decay: float = 1e-5, batch: int = 32) -> FactorizationMachine:
-        """AdaGrad on the logistic loss over (terms, counts) rows; the same rows in the same order give the same model."""
-        rng = np.random.default_rng(7)
-        size = 1 << bits
+    def fit(cls, pairs: list[np.ndarray], labels: np.ndarray, bits: int, factors: int, epochs: int, rate: float = 0.1, decay: float = 1e-4, batch: int = 32) -> FactorizationMachine:
+        """AdaGrad on the logistic loss over rows of terms; the same rows in the same order give the same model."""
         positive = float(labels.sum())
-        model = cls(float(np.log((positive + 1) / (len(labels) - positive + 1))), np.zeros(size), rng.normal(0, 0.01, (size, factors)))
+        bias = float(np.log((positive + 1) / (len(labels) - positive + 1)))
         if not 0 < positive < len(labels):
-            return model
-        gw, gv = np.full(size, 1e-2), np.full((size, factors), 1e-2)
+            return cls(bits, bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
+        rng = np.random.default_rng(7)
+        ids = telling(pairs, labels, bits)
+        model = cls(bits, bias, ids, np.zeros(len(ids)), rng.normal(0, 0.01, (len(ids), factors)))
+        rows = [(at := model.place[p])[at >= 0] for p in pairs]
+        gw, gv = np.full(len(ids), 1e-2), np.full((len(ids), factors), 1e-2)
         for epoch in range(epochs):
-            order = rng.permutation(len(docs))
+            order = rng.permutation(len(rows))
             step = rate / (1 + epoch)
-            for at in range(0, len(order), batch):
-                own = order[at : at + batch]
-                row = np.repeat(np.arange(len(own)), [len(docs[k][0]) for k in own])
-                term = np.concatenate([docs[k][0] for k in own])
-                x = cls.weight(np.concatenate([docs[k][1] for k in own]))
-                v = model.v[term] * x[:, None]
+            for begin in range(0, len(order), batch):
+                own = order[begin : begin + batch]
+                row = np.repeat(np.arange(len(own)), [len(rows[k]) for k in own])
+                at = np.concatenate([rows[k] for k in own])
+                error = 1 / (1 + np.exp(-np.clip(model.logits(row, at, len(own)), -30, 30))) - labels[own]
+                v = model.v[at]
                 total = np.stack([np.bincount(row, v[:, f], len(own)) for f in range(factors)], 1)
-                z = model.bias + np.bincount(row, model.w[term] * x, len(own)) + 0.5 * (total**2).sum(1) - 0.5 * np.bincount(row, (v * v).sum(1), len(own))
-                error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[own]
-                e = error[row] * x
-                touched, where = np.unique(term, return_inverse=True)
-                dw = np.bincount(where, e) + decay * model.w[touched]
-                dv = e[:, None] * (total[row] - v)
-                dv = np.stack([np.bincount(where, dv[:, f]) for f in range(factors)], 1) + decay * model.v[touched]
+                touched, where = np.unique(at, return_inverse=True)
+                dw = np.bincount(where, error[row]) + decay * model.w[touched]
+                dv = error[row][:, None] * (total[row] - v)
+                dv = np.stack([np.bincount(where, dv[:, f], len(touched)) for f in range(factors)], 1) + decay * model.v[touched]
                 gw[touched] += dw * dw
                 gv[touched] += dv * dv
                 model.w[touched] -= step * dw / np.sqrt(gw[touched])
                 model.v[touched] -= 0.3 * step * dv / np.sqrt(gv[touched])
-                model.bias -= 0.01 * step * float(error.sum())
+                model.bias -= 0.1 * step * float(error.sum()) / len(own)
         return model
 
 
@@ -128,7 +140,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS, factors: int = FACTORS, epochs: int = EPOCHS,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> bytes:
-    """The machine's bytes (under 5 MB), fitted on at most ``sample`` labelled rows that are not held out.
+    """The machine's bytes (a weight and factors for each telling term), fitted on at most ``sample`` labelled rows that are not held out.
 
     The sample is the rows whose hashed id is smallest, so it is the same in every run. Ids with several
     labels take the largest; null ids and labels are left out. Without both labels the score is constant.
@@ -140,22 +152,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
 
     def extract(batches):
         for batch in text_slices(batches):
-            row, term, count = terms(batch.column("text"), bits)
+            row, term = terms(batch.column("text"), bits)
             at = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(count.astype(np.int32)))],
-                                             names=["doc_id", "toxic", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(term.astype(np.int32)))], names=["doc_id", "toxic", "terms"])
 
-    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(extract, "doc_id long, toxic int, terms array<int>, counts array<int>")
+    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(extract, "doc_id long, toxic int, terms array<int>")
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending")])
-        pairs = [(t.values.to_numpy(), c.values.to_numpy()) for t, c in zip(table.column("terms"), table.column("counts"), strict=True)]
+        pairs = [t.values.to_numpy() for t in table.column("terms")]
         model = FactorizationMachine.fit(pairs, table.column("toxic").to_numpy().astype(float), bits, factors, epochs)
         return pa.table({"model": pa.array([model.to_bytes()], pa.binary())})
 
     # one task by design: the sample is bounded
     found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(train, "model binary").collect()
-    return bytes(found[0].model) if found else FactorizationMachine(0.0, np.zeros(1 << bits), np.zeros((1 << bits, factors))).to_bytes()
+    return bytes(found[0].model) if found else FactorizationMachine.fit([], np.zeros(0), bits, factors, 0).to_bytes()
 
 
 def score(docs: DataFrame, model: bytes, bits: int = BITS, text_col: str = "text", name: str = "score", keep: tuple[str, ...] | None = None) -> DataFrame:
