@@ -81,18 +81,12 @@ def describe_by_model(spark, folder):
     return describe_stats(forecasts(spark, folder), ["predicted"], ["model"])
 
 
-_FITTED: dict[tuple, object] = {}
-
-
 def _trees(spark, folder, kind: str):
-    """Rows to score and the fitted model; a model is fitted once per session and folder."""
+    """Rows to score and a model fitted on the panel as it is now."""
     panel = cpu_panel(spark, folder)
-    key = (spark.sparkContext.applicationId, folder, kind)
-    if key not in _FITTED:
-        # fitting reads its table many times, so it is stored first
-        train = stored(forecast.tree_training(panel, "cpu_p95", CUT), "tree-training")
-        _FITTED[key] = forecast.tree_model(kind, *TREE_SIZE[kind]).fit(train)
-    return forecast.tree_rows(panel, "cpu_p95", CUT), _FITTED[key]
+    # fitting reads its table many times, so it is stored first
+    train = stored(forecast.tree_training(panel, "cpu_p95", CUT), "tree-training")
+    return forecast.tree_rows(panel, "cpu_p95", CUT), forecast.tree_model(kind, *TREE_SIZE[kind]).fit(train)
 
 
 # trees and depth; the same as the library's defaults

@@ -1,4 +1,4 @@
-"""Checked broadcasts and stored intermediate tables."""
+"""Stored intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,17 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .. import params as P
-
-
-def broadcast_if_small(side: DataFrame, max_rows: int = P.BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is within ``max_rows``.
-
-    Beyond the bound the side is returned as it is and the join shuffles.
-    """
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 
 def shared_folder(spark: SparkSession) -> str:

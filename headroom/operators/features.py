@@ -26,7 +26,6 @@ from .segments import (
     with_segment,
 )
 
-MAX_CATEGORIES = 500
 STATS = ("mean", "std", "min", "max")
 
 
@@ -98,22 +97,24 @@ def cumulative_sum(
     return out.withColumns({f"{m}_cumulative": F.when(F.col(m).isNotNull(), F.col(f"{m}_cumulative")) for m in metrics}).drop(SEG)
 
 
-def categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct values of category columns; refuses columns that are not categories."""
-    out = {}
-    for c in columns:
-        rows = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} distinct values")
-        out[c] = sorted(r[0] for r in rows)
-    return out
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct values of category columns, from one aggregate.
+
+    A wide table has a column for each value, so the values fit the driver whenever the table can be planned.
+    """
+    found = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
+    return {c: list(found[c]) for c in columns}
 
 
 def one_hot(df: DataFrame, columns: Sequence[str] = P.METADATA, values: dict[str, list] | None = None) -> DataFrame:
     """0/1 columns ``<first three letters>_<value>``; the source columns are removed."""
     values = values or categories(df, columns)
-    made = {f"{c[:3]}_{v}": F.when(F.col(c) == F.lit(v), 1).otherwise(0) for c in columns for v in values[c]}
-    return df.select(*[F.col(c) for c in df.columns if c not in columns], *[e.alias(n) for n, e in made.items()])
+    made = [(f"{c[:3]}_{v}", F.when(F.col(c) == F.lit(v), 1).otherwise(0)) for c in columns for v in values[c]]
+    kept = [c for c in df.columns if c not in columns]
+    names = [*kept, *(n for n, _ in made)]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"columns of equal name: {', '.join(twice)}")
+    return df.select(*[F.col(c) for c in kept], *[e.alias(n) for n, e in made])
 
 
 def days_since_start(df: DataFrame, ts: str = P.TS) -> DataFrame:

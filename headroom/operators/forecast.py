@@ -60,12 +60,18 @@ def future_days(df: DataFrame, horizon: int = P.HORIZON, entity: str = P.ENTITY,
     return last.select(entity, F.explode(days).alias(ts))
 
 
+def era_days(alpha: float) -> int:
+    """So many days back, exponential weights are still far from the smallest double."""
+    return max(1, int(600 / -math.log(1.0 - alpha))) if alpha < 1 else 1
+
+
 def cells(
     df: DataFrame, target: str, cut: str, alpha: float = P.SES_ALPHA, entity: str = P.ENTITY, ts: str = P.TS,
 ) -> DataFrame:
     """Sufficient statistics per server, split, weekday, month and calendar flags.
 
-    Time ``x`` is counted in days from the cut; ``w`` holds exponential weights by age.
+    Time ``x`` is counted in days from the cut; ``sw`` holds values under exponential weights, which count
+    from the end of an ``era`` of some years.
     """
     d = F.to_date(F.col(ts))
     y = F.col(target).cast("double")
@@ -73,11 +79,13 @@ def cells(
     rows = df.filter(F.col(entity).isNotNull()).select(
         F.col(entity), (d < _cut(cut)).alias("train"), C.weekday(d).alias("weekday"), F.month(d).alias("month"),
         C.eoq_window(d).alias("eoq"), C.is_holiday(d).alias("holiday"), d.alias("day"), x.alias("x"), y.alias("y"),
-        F.pow(F.lit(1.0 - alpha), -x - 1).alias("age"),
+        F.floor(-x / F.lit(era_days(alpha))).alias("era"),
     )
+    # weights count from the end of the row's era, so that old ones do not all become 0
+    rows = rows.withColumn("age", F.pow(F.lit(1.0 - alpha), -F.col("x") - F.col("era") * F.lit(era_days(alpha))))
     held = F.when(F.col("y").isNotNull(), F.col("day"))
     seen = F.when(F.col("y").isNotNull(), F.col("x"))
-    return rows.groupBy(entity, "train", "weekday", "month", "eoq", "holiday").agg(
+    return rows.groupBy(entity, "train", "weekday", "month", "eoq", "holiday", "era").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("y").alias("n"), F.sum(seen).alias("sx"), F.sum("y").alias("sy"),
         F.sum(seen * seen).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"),
@@ -130,6 +138,9 @@ def coefficients(
     fit = fit.withColumns({
         "weekday_mean": F.try_divide(total("sy", by_weekday), total("n", by_weekday).cast("double")), "square": square,
     })
+    # from the end of the cell's era to the server's last day; eras long before it weigh nothing
+    shift = F.datediff(F.max("last_held").over(by), _cut(cut)) + F.col("era") * F.lit(era_days(alpha))
+    fit = fit.withColumn("_sw", F.col("sw") * F.pow(F.lit(1.0 - alpha), shift.cast("double")))
     pairs = lambda k, v: F.map_from_entries(F.collect_set(F.struct(F.col(k), F.col(v))))
     packed = fit.groupBy(entity).agg(
         F.max("_train_rows").alias("train_rows"), F.max("_end").alias("last_day"),
@@ -137,13 +148,13 @@ def coefficients(
         pairs("weekday", "weekday_mean").alias("weekday_mean"),
         pairs("weekday", "e_weekday").alias("weekday_effect"), pairs("month", "e_month").alias("month_effect"),
         F.max("e_eoq").alias("eoq_effect"), F.max("e_holiday").alias("holiday_effect"), F.max("e_weekend").alias("weekend_effect"),
-        F.sum("left").alias("_r"), F.sum("square").alias("_rr"), F.sum("sw").alias("_sw"),
+        F.sum("left").alias("_r"), F.sum("square").alias("_rr"), F.sum("_sw").alias("_sw"),
         F.min("first_held").alias("_first"), F.max("last_held").alias("last_train_day"),
         F.min_by("first_y", "first_held").alias("_first_y"), F.max_by("last_y", "last_held").alias("last_value"),
     )
     variance = F.try_divide(F.col("_rr") - F.col("_r") * F.col("_r") / F.col("n"), (F.col("n") - 1).cast("double"))
-    age = lambda c: F.pow(F.lit(1.0 - alpha), (F.datediff(_cut(cut), F.col(c)) - 1).cast("double"))
-    smoothed = (F.lit(alpha) * F.col("_sw") + F.lit(1.0 - alpha) * age("_first") * F.col("_first_y")) / age("last_train_day")
+    since_first = F.datediff(F.col("last_train_day"), F.col("_first")).cast("double")
+    smoothed = F.lit(alpha) * F.col("_sw") + F.lit(1.0 - alpha) * F.pow(F.lit(1.0 - alpha), since_first) * F.col("_first_y")
     return packed.withColumns({
         "residual_std": F.sqrt(F.greatest(variance, F.lit(0.0))), "ses_level": smoothed,
     }).drop("_r", "_rr", "_sw", "_first", "_first_y")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.sizing import broadcast_if_small
 from .segments import attach_entity_stats, overall_totals
 
 # fixed values: fleet shares in assignment order; what is left over goes to the largest share
@@ -18,14 +17,10 @@ FLEET_SHARES = (("web", 0.35), ("application", 0.40), ("database", 0.15), ("batc
 def join_metadata(df: DataFrame, metadata: DataFrame, entity: str = P.ENTITY) -> DataFrame:
     """Left join a dimension with one row per server; every metric row is kept.
 
-    The dimension is broadcast only if it is counted to be small; otherwise it is salted, so a
-    server with a large share of the rows is spread over tasks.
+    The optimiser broadcasts a small dimension by its size statistics; otherwise adaptive execution splits
+    the rows of a server with a large share.
     """
-    small = broadcast_if_small(metadata)
-    if small is not metadata:
-        return df.join(small, entity, "left")
-    spread = next(c for c in df.columns if c != entity)
-    return attach_entity_stats(df, metadata, [entity], spread)
+    return df.join(metadata, entity, "left")
 
 
 def join_forecast_actual(forecast: DataFrame, actual: DataFrame, target: str, how: str = "inner", keys: Sequence[str] = (P.ENTITY, P.TS)) -> DataFrame:

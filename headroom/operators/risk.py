@@ -144,9 +144,9 @@ def risk_code_table(df: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> Da
     return df.groupBy(entity, ts).agg(F.min_by(code, F.col("model")).alias("risk_code"))
 
 
-def risk_matrix(codes: DataFrame, days: Sequence, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
-    """Wide heat map over an explicit list of days; days without a row are 0."""
-    if len(days) > 1000:
-        raise ValueError("give at most 1000 days; use the long table beyond that")
+def risk_matrix(codes: DataFrame, days: Sequence | None = None, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+    """Wide heat map over a list of days; days without a row are 0. Without a list: all days of the table."""
+    if days is None:
+        days = [r[0] for r in codes.select(ts).distinct().orderBy(ts).collect()]  # one row per column made
     wide = codes.groupBy(entity).pivot(ts, list(days)).agg(F.first("risk_code"))
     return wide.na.fill(0)

@@ -36,5 +36,3 @@ SEGMENT_HOURS = 512 * 24
 CHUNK_ROWS = 2048
 # Copies of a per-entity statistic when it is joined back to rows of that entity.
 SALTS = 8
-# A side is only broadcast by hand when a counted bound shows it has at most this many rows.
-BROADCAST_ROWS = 100_000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +40,22 @@ def read_object(spark: SparkSession, bucket: str, key: str, kind: str | None = N
     return read_panel(spark, f"{scheme}://{bucket}/{key}", kind, **options)
 
 
-def file_times(spark: SparkSession, folder: str, pattern: str, kind: str = "parquet") -> DataFrame:
-    """Path and modification time of the files under a prefix that match a pattern."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    return found.select("path", F.col("modificationTime").alias("modified"))
+def dataset_times(spark: SparkSession, folder: str, pattern: str = "*", kind: str = "parquet") -> DataFrame:
+    """Path and modification time of the datasets under a prefix whose names match a pattern.
+
+    A dataset is a file ``<name>.<kind>`` (or ``.gz``), or a folder of that name with the files Spark wrote
+    into it; its time is that of its newest file. Only the listing is read.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    dataset = F.regexp_extract("path", rf"^(.*?/[^/]*\.{kind}(?:\.gz)?)(?:/[^/]*)*$", 1)
+    named = found.select(dataset.alias("path"), F.col("modificationTime").alias("modified")).where("path <> ''")
+    wanted = F.regexp_extract("path", "([^/]*)$", 1).rlike(fnmatch.translate(pattern).replace(r"\z", r"\Z"))
+    return named.where(wanted).groupBy("path").agg(F.max("modified").alias("modified"))
 
 
-def latest_snapshot(spark: SparkSession, folder: str, pattern: str, kind: str = "parquet", **options) -> DataFrame:
-    """Read the most recently modified matching file; equal times go to the last name."""
-    newest = file_times(spark, folder, pattern).agg(F.max_by("path", F.struct("modified", "path"))).first()[0]
+def latest_snapshot(spark: SparkSession, folder: str, pattern: str = "*", kind: str = "parquet", **options) -> DataFrame:
+    """Read the whole dataset that was modified last; equal times go to the last name."""
+    newest = dataset_times(spark, folder, pattern, kind).agg(F.max_by("path", F.struct("modified", "path"))).first()[0]
     if newest is None:
         raise FileNotFoundError(f"no {pattern} under {folder}")
     return read_panel(spark, newest, kind, **options)
