@@ -30,4 +30,14 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all that was made from them has been written itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
