@@ -13,9 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sizing import stored
+from ..functions.sizing import forget, stored
 
 SLICE_BYTES = 4 << 20
+BATCH_ROWS = 1000
 PARTITION_ROWS = 200_000
 
 
@@ -25,9 +26,15 @@ def documents(spark, folder: str) -> DataFrame:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``, whatever else the table holds; a null text is empty."""
+    bound_batches(docs)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def bound_batches(docs: DataFrame) -> None:
+    """Let Python workers get Arrow batches of at most ``BATCH_ROWS`` rows, so that long texts do not fill their memory."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` bytes of text. A longer text is a slice of its own, so memory follows the longest row."""
     for batch in batches:
@@ -287,7 +294,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "compon
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        star = stored(small.where("u <> v").distinct(), name)
+        old, star = star, stored(small.where("u <> v").distinct(), name)
+        forget(old)
         now = star.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == before:
             break

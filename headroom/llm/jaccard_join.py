@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sizing import stored
+from ..functions.sizing import forget, stored
 from .common import Sketch, bitmap, bucketed, components, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, unpacked
 
 WIDTH = 5
@@ -18,6 +18,7 @@ REPEAT_BITS = 25
 BUCKET_BYTES = 64 << 20  # of text behind one bucket of keys
 SIZES = 128  # the largest boundary that is considered
 ROUNDS = 2
+SLICE = 2 << 20
 _TAG = np.uint64(0x51ED270B35AF1D4B)
 
 
@@ -78,7 +79,7 @@ def set_keys(members: np.ndarray, levels: np.ndarray, light: int, share: tuple[i
 def _profile(batches, width: int, bits: int):
     """One row for each document (size and id of its set) and, at the end, the task's sketch."""
     sketch = Sketch(bits)
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         members, at = shingles(batch.column("text"), width)
         sketch.add(members)
         sets = [xxhash.xxh3_64_intdigest(members[a:b].tobytes()) - 2**63 if b > a else None for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -92,7 +93,7 @@ def _profile(batches, width: int, bits: int):
 def _own_keys(batches, width: int, levels, light: int, share):
     """For each slice: keys, names, sizes and last members of its sets of two or more members, each set once a task."""
     seen: set[int] = set()
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         members, at = shingles(batch.column("text"), width)
         keys, rows = [], []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -133,7 +134,7 @@ def _entries(batches, width: int, levels, light: int, share, repeated):
 def _linked(batches, width: int, share):
     """The pairs of texts whose sets link. A text that several neighbouring rows share is cut up once."""
     cached: dict[int, np.ndarray] = {}
-    for batch in text_slices(batches, "a_text"):
+    for batch in text_slices(batches, "a_text", SLICE):
         out_a, out_b = [], []
         for a, b, a_text, b_text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
             if len(cached) > 64:
@@ -194,7 +195,9 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     owners = stored(sets.where("doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "content")).alias("one")).select("set", "one.*"), "owners")
 
     edges, component, texts = None, None, None
-    left = shared.join(lists.select("set", "n"), "set").withColumn("component", F.col("set"))
+    forget(entries)
+    left = stored(shared.join(lists.select("set", "n"), "set").withColumn("component", F.col("set")), "left")
+    forget(shared)
     for turn in range(rounds + 1):
         if turn < rounds:
             hub = left.groupBy("key").agg(F.min_by("set", F.xxhash64("set", F.lit(turn))).alias("hub"))
@@ -215,11 +218,13 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
         new = stored(with_texts.mapInArrow(lambda b: _linked(b, width, share), "a long, b long"), "links")
         edges = new if edges is None else edges.unionByName(new)
         component = stored(components(edges, name="set-component"), "components")
+        forget(pairs, wanted)
         if turn == rounds:
             break
         placed = left.drop("component").join(component.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        left = stored(placed.join(mixed, "key"), "left")
+        old, left = left, stored(placed.join(mixed, "key"), "left")
+        forget(old)
         if not left.limit(1).count():
             break
     placed = sets.join(component.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import stored
-from .common import mix, text_slices
+from .common import bound_batches, mix, text_slices
 
 MIN_CHARS = 10
 SHARD_KEYS = 50_000
@@ -231,6 +231,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text is one empty line; rows without an id neither count nor lose lines; rows that share an id
     are one document. ``n_lines`` and ``n_dropped`` replace columns of these names.
     """
+    bound_batches(docs)
     others = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*others, F.lit(1).alias("__")).alias("row"))
     drops = repeated_lines(base.select("doc_id", "text"), min_chars)

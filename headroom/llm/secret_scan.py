@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import stored
-from .common import column_bytes, text_slices
+from .common import bound_batches, column_bytes, text_slices
 
 # fixed values: the base patterns, the least lengths, and the order of the kinds
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -209,6 +209,8 @@ def _has_run(column: pa.Array, least: int = 16) -> np.ndarray:
 
 def credentials(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> dict[str, list[str]]:
     """For each kind up to ``sample`` distinct values that the fixed patterns label as credentials, those of smallest hash."""
+    bound_batches(docs)
+
     def extract(batches):
         for batch in text_slices(batches):
             out = set()
@@ -232,6 +234,7 @@ def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str
     is empty. ``keep`` names the other columns to carry (all by default); a column ``spans`` is replaced.
     """
     automata = learn(credentials(docs, text_col=text_col)) if automata is None else automata
+    bound_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(automata)  # bounded by the sample
     kept = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
     others = [c for c in kept if c != text_col]

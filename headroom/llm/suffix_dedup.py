@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sizing import stored
+from ..functions.sizing import forget, stored
 from .cap_filters import runs
 from .common import _P, _powers, bitmap, bucketed, column_bytes, id_text, in_bitmap, mix, sifted, spread, text_slices, unpacked
 
 WIDTH = 100
 GRAM = 40
 BATCHES = 3
+SLICE = 1 << 20
 BUCKET_BYTES = 256 << 20  # of text behind one bucket of the index
 REPEAT_BITS = 25
 HEAVY = 2000
@@ -82,6 +83,7 @@ class Family:
     def __init__(self, spark: SparkSession, buckets: int, width: int, gram: int):
         self.spark, self.buckets, self.width, self.gram = spark, buckets, width, gram
         self.levels: list[tuple[int, DataFrame]] = []
+        self.written: list[DataFrame] = []
 
     def add(self, texts: DataFrame, last: bool) -> DataFrame:
         """Index a batch of ``text`` rows; returns its heads, in packed arrays, that it has twice or that a level has."""
@@ -91,17 +93,20 @@ class Family:
         for _, level in self.levels:
             known = known.unionByName(level)
         out = stored(fresh.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_scanned, LEVEL + ", repeated binary"), "level")
+        self.written.append(out)
         if not last:
             self.levels.append((0, out.select("bucket", "grams")))
             while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
                 (rank, a), (_, b) = self.levels.pop(), self.levels.pop()
-                self.levels.append((rank + 1, stored(a.unionByName(b).groupBy("bucket").applyInArrow(_merged, LEVEL), "level")))
+                merged = stored(a.unionByName(b).groupBy("bucket").applyInArrow(_merged, LEVEL), "level")
+                self.levels.append((rank + 1, merged))
+                self.written.append(merged)
         return out.select(F.col("repeated").alias("grams"))
 
 
 def _heads(batches, buckets: int, width: int, gram: int):
     """For each bucket the heads of a slice, and those of them that it has more than once."""
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         yield bucketed(*np.unique(Anchors(batch.column("text"), width, gram).gram, return_counts=True), buckets)
 
 
@@ -123,13 +128,11 @@ def _merged(table):
     return pa.table({"bucket": table.column("bucket").slice(0, 1), "grams": pa.array([heads.tobytes()], pa.binary())})
 
 
-def repeated_heads(base: DataFrame, width: int, gram: int, batches: int, bucket_bytes: int) -> DataFrame:
-    """Packed arrays of the suffix heads that occur more than once; ``base`` is dealt into batches by ranges of ``doc_id``."""
-    spark = base.sparkSession
+def repeated_heads(base: DataFrame, width: int, gram: int, batches: int, bucket_bytes: int) -> np.ndarray:
+    """A bitmap, of fixed size, of the suffix heads that occur more than once; ``base`` is dealt into batches by ranges of ``doc_id``."""
     volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(16, -(-volume // bucket_bytes))
     cuts = sorted(set(base.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
-    family, out = Family(spark, buckets, width, gram), None
+    family, out = Family(base.sparkSession, max(16, -(-volume // bucket_bytes)), width, gram), None
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = base
         if low is not None:
@@ -138,7 +141,9 @@ def repeated_heads(base: DataFrame, width: int, gram: int, batches: int, bucket_
             part = part.where(F.col("doc_id") <= high)
         got = family.add(part.select("text"), high is None)
         out = got if out is None else out.unionByName(got)
-    return out
+    bits = bitmap(out, lambda b: unpacked(b.column("grams")), REPEAT_BITS)
+    forget(*family.written)
+    return bits
 
 
 # Which bytes go ----------------------------------------------------------------------------------
@@ -148,7 +153,7 @@ FOUND = "doc_id long, lo int, count int, gram long, region long"
 
 def _found(batches, heads, width: int, gram: int):
     """The anchors of repeated heads. Of equal regions in a slice all but the first are settled: they come without a head."""
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SLICE):
         a = Anchors(batch.column("text"), width, gram)
         some = np.flatnonzero(in_bitmap(heads.value, a.gram))
         doc = batch.column("doc_id").to_numpy()[a.row[some]]
@@ -223,13 +228,12 @@ def repeated_spans(base: DataFrame, width: int = WIDTH, gram: int = GRAM, batche
     reduces before the shuffle and has no common key.
     """
     spark = base.sparkSession
-    heads = spark.sparkContext.broadcast(bitmap(
-        repeated_heads(base, width, gram, batches, bucket_bytes), lambda b: unpacked(b.column("grams")), REPEAT_BITS))
+    heads = spark.sparkContext.broadcast(repeated_heads(base, width, gram, batches, bucket_bytes))
     found = stored(base.mapInArrow(lambda b: _found(b, heads, width, gram), FOUND), "anchors")
     variants = stored(found.where("gram is not null").groupBy("gram", "region").agg(
-        F.min("doc_id").alias("first"), F.min_by("lo", "doc_id").alias("lo"), F.min_by("count", "doc_id").alias("count")), "variants")
+        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.min_by("lo", "doc_id").alias("lo"), F.min_by("count", "doc_id").alias("count")), "variants")
     whole = found.where("gram is null").select("doc_id", "lo", "count").unionByName(
-        found.where("gram is not null").join(variants.select("gram", "region", "first"), ["gram", "region"]).where("doc_id <> first").select("doc_id", "lo", "count"))
+        found.where("gram is not null").join(variants.where("n > 1").select("gram", "region", "first"), ["gram", "region"]).where("doc_id <> first").select("doc_id", "lo", "count"))
     whole = whole.select("doc_id", F.col("lo").alias("start"), (F.col("lo") + F.col("count") - 1 + width).cast("int").alias("stop"))
 
     several = variants.groupBy("gram").agg(F.count("*").alias("variants")).where("variants > 1")
@@ -241,7 +245,9 @@ def repeated_spans(base: DataFrame, width: int = WIDTH, gram: int = GRAM, batche
     strings = regions.where(F.col("variants") > heavy).mapInArrow(lambda b: _strings(b, width), "doc_id long, start int, a long, b long")
     earliest = strings.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     many = strings.join(earliest, ["a", "b"]).where("doc_id <> first.doc_id or start <> first.start").select("doc_id", "start", (F.col("start") + width).cast("int").alias("stop"))
-    return whole.unionByName(few).unionByName(many)
+    spans = stored(whole.unionByName(few).unionByName(many), "spans")
+    forget(found, variants, spots, regions)
+    return spans
 
 
 def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
@@ -254,7 +260,7 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     """
     base = id_text(docs, id_col, text_col)
     named = base.where("doc_id is not null")
-    spans = stored(repeated_spans(named, width, **settings), "spans")
+    spans = repeated_spans(named, width, **settings)
     touched, rest = sifted(named, spans)
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
     rest = rest.unionByName(base.where("doc_id is null"))

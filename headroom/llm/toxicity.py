@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, _P, _powers, column_bytes, id_text, mix, text_slices, worker_state
+from .common import _LOWER, _P, _powers, bound_batches, column_bytes, id_text, mix, text_slices, worker_state
 
 BITS = 18
 FACTORS = 8
@@ -174,6 +174,7 @@ def score(docs: DataFrame, model: bytes, bits: int = BITS, text_col: str = "text
 
     ``keep`` names the columns to carry (all by default); a column named like the score is replaced. Nothing but the text is looked at; one pass, no shuffle.
     """
+    bound_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by bits and factors
     kept = [c for c in (docs.columns if keep is None else keep) if c != name]
     others = [c for c in kept if c != text_col]

@@ -99,7 +99,7 @@ def test_token_files(spark, odd, tmp_path):
     assert ids == sorted(ids)
     index = token_files.read_index(spark, path)
     assert {(r.doc_id, r.start) for r in index.collect()} == {(r.doc_id, r.start) for r in rows}
-    assert "ids" not in index._jdf.queryExecution().optimizedPlan().toString()
+    assert "ids" not in index._jdf.queryExecution().executedPlan().toString()
     some = token_files.read_tokens(spark, path, 4, 6).collect()
     assert {(r.doc_id, r.start) for r in some} == {(r.doc_id, r.start) for r in rows if r.doc_id in (4, 5, 6)}
 
