@@ -16,7 +16,7 @@ from .common import _P, _powers, bitmap, bucketed, column_bytes, id_text, in_bit
 WIDTH = 100
 GRAM = 40
 BATCHES = 3
-SLICE = 1 << 20
+SLICE = 256 << 10  # of text at a time: the arrays over its places take about 150 times as much
 BUCKET_BYTES = 256 << 20  # of text behind one bucket of the index
 REPEAT_BITS = 25
 HEAVY = 2000
