@@ -18,6 +18,7 @@ GRAM = 40
 BATCHES = 3
 SLICE = 256 << 10  # of text at a time: the arrays over its places take about 150 times as much
 BUCKET_BYTES = 256 << 20  # of text behind one bucket of the index
+PIECE = 2048  # heads in a row of a stored array: Parquet pages and their codecs hold rows by the hundred
 REPEAT_BITS = 25
 HEAVY = 2000
 
@@ -110,22 +111,24 @@ def _heads(batches, buckets: int, width: int, gram: int):
         yield bucketed(*np.unique(Anchors(batch.column("text"), width, gram).gram, return_counts=True), buckets)
 
 
+def _pieces(bucket: int, **arrays: np.ndarray) -> pa.Table:
+    """Sorted arrays of a bucket as rows of at most ``PIECE`` heads, in order."""
+    rows = max(1, *(-(-len(x) // PIECE) for x in arrays.values()))
+    cut = {name: [x[k * PIECE : (k + 1) * PIECE].astype("<u8").tobytes() for k in range(rows)] for name, x in arrays.items()}
+    return pa.table({"bucket": pa.array([bucket] * rows, pa.int32())} | {name: pa.array(x, pa.binary()) for name, x in cut.items()})
+
+
 def _scanned(batch, level):
     """Merge a bucket of a batch into one sorted array and scan the levels' arrays with it."""
-    fresh = [np.frombuffer(x, "<u8") for x in batch.column("grams").to_pylist()]
-    heads, count = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    repeated = [heads[count > 1], *(np.frombuffer(x, "<u8") for x in batch.column("again").to_pylist())]
-    for x in level.column("grams").to_pylist():
-        old = np.frombuffer(x, "<u8")
-        if len(old):
-            repeated.append(heads[old[np.minimum(np.searchsorted(old, heads), len(old) - 1)] == heads])
+    heads, count = np.unique(unpacked(batch.column("grams")), return_counts=True)
+    old = np.sort(unpacked(level.column("grams")), kind="stable")  # a merge of sorted runs
+    known = old[np.minimum(np.searchsorted(old, heads), len(old) - 1)] == heads if len(old) else np.zeros(len(heads), bool)
     bucket = (batch if batch.num_rows else level).column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket], pa.int32()), "grams": pa.array([heads.tobytes()], pa.binary()), "repeated": pa.array([np.unique(np.concatenate(repeated)).tobytes()], pa.binary())})
+    return _pieces(bucket, grams=heads, repeated=np.union1d(heads[(count > 1) | known], unpacked(batch.column("again"))))
 
 
 def _merged(table):
-    heads = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in table.column("grams").to_pylist()]))
-    return pa.table({"bucket": table.column("bucket").slice(0, 1), "grams": pa.array([heads.tobytes()], pa.binary())})
+    return _pieces(table.column("bucket")[0].as_py(), grams=np.unique(unpacked(table.column("grams"))))
 
 
 def repeated_heads(base: DataFrame, width: int, gram: int, batches: int, bucket_bytes: int) -> np.ndarray:
