@@ -259,8 +259,12 @@ def id_hashes(column: pa.Array) -> np.ndarray:
     return mix(column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
 
-def sifted(docs: DataFrame, ids: DataFrame, bits: int = 23) -> tuple[DataFrame, DataFrame]:
-    """``docs`` (with ids) in two: rows whose ``doc_id`` may be in ``ids``, and rows whose is not; most texts need not be shuffled then."""
+def sifted(docs: DataFrame, ids: DataFrame, bits: int = 23, after: Callable | None = None, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (with ids) in two: rows whose ``doc_id`` may be in ``ids``, and rows whose is not; most texts need not be shuffled then.
+
+    ``after`` is applied to the batches of the latter in the same worker and gives ``schema``: a second
+    ``mapInArrow`` behind the first would keep twice as many workers.
+    """
     packed = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select("doc_id"), lambda b: id_hashes(b.column("doc_id")), bits))
 
     def part(wanted: bool):
@@ -268,6 +272,8 @@ def sifted(docs: DataFrame, ids: DataFrame, bits: int = 23) -> tuple[DataFrame,
             for batch in batches:
                 yield batch.filter(pa.array(in_bitmap(packed.value, id_hashes(batch.column("doc_id"))) == wanted))
 
+        if after is not None and not wanted:
+            return docs.mapInArrow(lambda batches: after(sift(batches)), schema)
         return docs.mapInArrow(sift, docs.schema)
 
     return part(True), part(False)

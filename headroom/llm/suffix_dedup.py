@@ -253,6 +253,9 @@ def repeated_spans(base: DataFrame, width: int = WIDTH, gram: int = GRAM, batche
     return spans
 
 
+KEPT = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:bigint,stop:bigint>>"
+
+
 def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``doc_id, kept, n_bytes, n_removed, spans`` of every row; ``kept`` is binary, ``spans`` the maximal removed runs.
 
@@ -264,15 +267,12 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     base = id_text(docs, id_col, text_col)
     named = base.where("doc_id is not null")
     spans = repeated_spans(named, width, **settings)
-    touched, rest = sifted(named, spans)
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
-    rest = rest.unionByName(base.where("doc_id is null"))
-    plain = rest.select("doc_id", "text", F.lit(None).cast("array<struct<start:int,stop:int>>").alias("cuts"))
 
     def cut(batches):
         for batch in text_slices(batches):
             out = []
-            for text, cuts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("cuts").to_pylist(), strict=True):
+            found = batch.column("cuts").to_pylist() if "cuts" in batch.schema.names else [None] * batch.num_rows
+            for text, cuts in zip(batch.column("text").cast(pa.binary()).to_pylist(), found, strict=True):
                 joined: list[list[int]] = []
                 for a, b in sorted((c["start"], c["stop"]) for c in cuts or ()):
                     if joined and a <= joined[-1][1]:
@@ -284,9 +284,11 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
                     kept.append(text[at:a])
                     at = b
                 out.append((b"".join([*kept, text[at:]]), len(text), sum(b - a for a, b in joined), [{"start": a, "stop": b} for a, b in joined]))
-            columns = list(zip(*out, strict=True))
+            columns = list(zip(*out, strict=True)) or [()] * 4
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "kept", "n_bytes", "n_removed", "spans"])
 
-    both = touched.join(by_doc, "doc_id", "left").select("doc_id", "text", "cuts").unionByName(plain)
-    return both.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:bigint,stop:bigint>>")
+    touched, rest = sifted(named, spans, after=cut, schema=KEPT)
+    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
+    out = touched.join(by_doc, "doc_id", "left").select("doc_id", "text", "cuts").mapInArrow(cut, KEPT)
+    return out.unionByName(rest).unionByName(base.where("doc_id is null").mapInArrow(cut, KEPT))
