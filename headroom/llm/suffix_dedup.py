@@ -64,7 +64,7 @@ class Anchors:
         self.count = np.diff(np.append(first, len(at)))
         begin, place, self.row = start[first], at[first], row[first]
         self.lo = begin - offsets[self.row]
-        self.gram = value[place]
+        self.gram = mix(value[place])  # least values are small ones: mixed again, they fill all buckets
         stop = begin + self.count - 1 + width
         self.region = mix((sums[stop] - sums[begin]) * down[begin] + (place - begin).astype(np.uint64) * _P + self.count.astype(np.uint64))
 

@@ -117,6 +117,13 @@ def repeats(frame, **settings_):
     return Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.drop_repeats(frame, **settings_).collect())
 
 
+def test_heads_fill_all_buckets():
+    rng = np.random.default_rng(3)
+    a = suffix_dedup.Anchors(pa.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 200_000))]), 100, 40)
+    count = np.bincount((a.gram >> np.uint64(60)).astype(int), minlength=16)
+    assert count.min() > 0.7 * count.mean() and count.max() < 1.3 * count.mean()
+
+
 def test_suffix_dedup_odd(odd):
     want = brute.repeats(list({d: t for d, t in ODD if d is not None}.items()))
     whole = lambda t: (len((t or "").encode()), 0, 0, hashlib.sha256((t or "").encode()).hexdigest())
