@@ -16,7 +16,7 @@ from .common import _P, _powers, bitmap, bucketed, column_bytes, id_text, in_bit
 WIDTH = 100
 GRAM = 40
 BATCHES = 3
-SLICE = 256 << 10  # of text at a time: the arrays over its places take about 150 times as much
+SLICE = 256 << 10  # of text at a time: the arrays over its places take 80 times as much at their peak
 BUCKET_BYTES = 256 << 20  # of text behind one bucket of the index
 PIECE = 2048  # heads in a row of a stored array: Parquet pages and their codecs hold rows by the hundred
 REPEAT_BITS = 25
