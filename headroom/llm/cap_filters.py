@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.sizing import stored
 from .common import components, spread, worker_state
 
-HITS = 16  # filters a vector exceeds, on average
+RECALL = 0.999  # share of the pairs at the threshold that shall share a filter
+PAIRS = 4000  # random pairs that this is measured on
 BUCKET = 8  # vectors a filter of the largest label holds, on average
 BLOCK = 1024
 
@@ -32,29 +32,88 @@ def codebook(dim: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return worker_state(f"codebook_{dim}_{words}", make)
 
 
-def decode(vectors: np.ndarray, words: int, height: float) -> list[np.ndarray]:
-    """For each unit vector all filters (pairs of code words) whose summed products reach ``height``, and its best one.
+def _products(vectors: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    dim = vectors.shape[1]
+    rotation, left, right = codebook(dim, words)
+    turned = vectors @ rotation
+    return turned[:, : dim // 2] @ left.T, turned[:, dim // 2 :] @ right.T
+
+
+def _first(values: np.ndarray, count: int) -> np.ndarray:
+    """The places of the ``count`` largest values of each row, in order."""
+    if count < values.shape[1]:
+        some = np.argpartition(-values, count - 1, axis=1)[:, :count]
+        some.sort(axis=1)  # equal values in order of their places
+    else:
+        some = np.broadcast_to(np.arange(values.shape[1]), values.shape)
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(values, some, 1), axis=1, kind="stable"), 1)
+
+
+def best_filters(vectors: np.ndarray, words: int, hits: int) -> np.ndarray:
+    """For each unit vector the ``hits`` filters (pairs of code words) of largest summed products, ascending.
+
+    The pair of the i-th best first and the j-th best second word has i * j - 1 pairs at least as good, so
+    only pairs with i * j <= ``hits`` are looked at: about ``hits`` * ln(``hits``) of them, whatever ``words``.
+    """
+    hits = min(hits, words * words)
+    count = min(hits, words)
+    rank = np.arange(1, count + 1)
+    i, j = np.nonzero(rank[:, None] * rank[None, :] <= hits)
+    out = [np.zeros((0, hits), np.int64)]
+    rows = max(1, (1 << 20) // max(words, len(i)))
+    for begin in range(0, len(vectors), rows):
+        a, b = _products(vectors[begin : begin + rows], words)
+        x, y = _first(a, count), _first(b, count)
+        at = _first(np.take_along_axis(a, x, 1)[:, i] + np.take_along_axis(b, y, 1)[:, j], hits)
+        out.append(np.sort(np.take_along_axis(x, i[at], 1).astype(np.int64) * words + np.take_along_axis(y, j[at], 1), axis=1))
+    return np.concatenate(out)
+
+
+def decode(vectors: np.ndarray, words: int, height: float, least: int = 1) -> list[np.ndarray]:
+    """For each unit vector all filters (pairs of code words) whose summed products reach ``height``, and its ``least`` best ones.
 
     The products with either half's words are sorted once; for each first word the second ones that reach
     the height are a prefix, found by binary search, so the work follows the list and not all pairs.
     """
-    dim = vectors.shape[1]
-    rotation, left, right = codebook(dim, words)
-    turned = vectors @ rotation
-    a, b = turned[:, : dim // 2] @ left.T, turned[:, dim // 2 :] @ right.T
+    best = best_filters(vectors, words, least)
+    if height == math.inf:
+        return list(best)
+    a, b = _products(vectors, words)
     order = np.argsort(-b, axis=1)
     out = []
-    for x, y, o in zip(a, b, order, strict=True):
-        sorted_y = y[o]
-        count = np.searchsorted(-sorted_y, x - height, side="right")
+    for x, y, o, own in zip(a, b, order, best, strict=True):
+        count = np.searchsorted(-y[o], x - height, side="right")
         first = np.repeat(np.arange(words), count)
         second = o[np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)]
-        best = int(np.argmax(x)) * words + int(o[0])
-        found = first.astype(np.int64) * words + second
-        out.append(np.unique(found) if len(found) else np.array([best], np.int64))
+        out.append(np.union1d(first.astype(np.int64) * words + second, own))
     return out
 
 
+def number_of_words(vectors: int, hits: int, bucket: int) -> int:
+    """So many code words a half that ``bucket`` of the vectors meet in a filter, on average."""
+    return max(8, math.ceil(math.sqrt(vectors * hits / bucket)))
+
+
+def found_share(dim: int, words: int, hits: int, cosine: float, pairs: int = PAIRS) -> float:
+    """Which share of random pairs of the cosine has one of its best filters in common, in the code itself."""
+    rng = np.random.default_rng(dim)
+    x, other = rng.normal(size=(2, pairs, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other -= (other * x).sum(1, keepdims=True) * x
+    other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
+    a, b = best_filters(x, words, hits), best_filters(cosine * x + math.sqrt(max(0.0, 1 - cosine**2)) * other, words, hits)
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    return float((both[:, 1:] == both[:, :-1]).any(1).mean())
+
+
+def hits_for(dim: int, vectors: int, cosine: float, recall: float, bucket: int) -> int:
+    """The least number of filters a vector (in steps of 4) at which ``recall`` of the pairs of the cosine are found, among so many vectors."""
+    hits = 4
+    while hits < 4096 and found_share(dim, number_of_words(vectors, hits, bucket), hits, cosine) < recall:
+        hits += 4 if hits < 64 else hits // 2
+    return hits
+
+
 def _unit(raw: list) -> np.ndarray | None:
     """The vector of length 1 in double precision; None if it is null, empty, zero or holds null or non-finite numbers."""
     if not raw or any(x is None for x in raw):
@@ -148,21 +207,23 @@ def _verified(table: pa.Table, threshold: float) -> tuple | None:
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                 hits: int = HITS, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+                 recall: float = RECALL, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``.
 
     Vectors link if their labels are equal and their cosine, in double precision, is at least
     ``threshold``; null labels and ids and null, empty, zero or non-finite vectors link with nothing.
     Equal vectors are one class: its links are counted by members and never expanded. ``component_id`` is the smallest id
-    reachable (null for a null id). Filters are so many that ``bucket`` vectors of the largest label meet in
-    one on average, and so high that a vector exceeds ``hits`` of them; a larger bucket (vectors all alike)
-    is cut into blocks and each pair of blocks is a task's work of its own. A cell gives one row per vector.
+    reachable (null for a null id). A vector is in its best filters; how many is computed for the dimension and
+    the size of the largest label, so that ``recall`` of the pairs at the threshold share one (of nearer pairs
+    more do). Filters are so many that ``bucket`` vectors of the largest label meet in one on average; a larger
+    bucket (vectors all alike) is cut into blocks and each pair of blocks is a task's work of its own. A cell
+    gives one row per vector.
     """
     own = stored(members(vectors, id_col, vector_col, label_col), "vectors")
     classes = stored(own.groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"), F.first("group").alias("group"), F.first("vector").alias("vector")), "classes")
-    largest = classes.groupBy("group").count().agg(F.max("count")).first()[0] or 1
-    words = max(8, math.ceil(math.sqrt(largest * hits / bucket)))
-    level = NormalDist().inv_cdf(max(0.5, 1 - hits / words**2))
+    groups = classes.groupBy("group").count().groupBy(F.substring_index("group", "/", -1).cast("int").alias("dim")).agg(F.max("count").alias("n"))
+    hits = {r.dim: (r.n, hits_for(r.dim, r.n, threshold, recall, bucket)) for r in groups.collect()}  # one row a dimension
+    code = {dim: (number_of_words(n, k, bucket), k) for dim, (n, k) in hits.items()}
 
     def filtered(batches):
         for batch in batches:
@@ -170,8 +231,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
             for dim in np.unique(groups):
                 part = batch.filter(pa.array(groups == dim))
                 x = np.frombuffer(b"".join(part.column("vector").to_pylist()), "<f8").reshape(part.num_rows, -1)
-                # a sum of two products with unit words of half the dimension varies by 1 / sqrt(dim / 2)
-                found = decode(x, words, level / math.sqrt(max(x.shape[1] / 2, 1)))
+                words, least = code[x.shape[1]]
+                found = decode(x, words, math.inf, least)
                 at = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 rows = part.take(pa.array(at))
                 lists = pa.array(found, pa.list_(pa.int64())).take(pa.array(at))

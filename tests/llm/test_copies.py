@@ -221,3 +221,27 @@ def test_list_decoding_finds_all():
     for k, found in enumerate(cap_filters.decode(x, 12, 0.5)):
         want = np.flatnonzero(total[k].ravel() >= 0.5)
         assert found.tolist() == (want.tolist() or [int(total[k].argmax())])
+
+
+def test_near_vectors_finds_links_in_a_large_label(spark):
+    """20,000 vectors of one label, half of them with a partner of cosine 0.93 to 0.99, against blocked brute force."""
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(10_000, 64)))
+    other = rng.normal(size=x.shape)
+    other = unit(other - (other * x).sum(1, keepdims=True) * x)
+    cosine = rng.uniform(0.931, 0.99, (10_000, 1))
+    x = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * other]).astype("f4")
+    frame = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = np.array([r.n_links for r in cap_filters.near_vectors(frame).orderBy("vec_id").collect()])
+    x = unit(x.astype("f8"))
+    want = np.concatenate([(x[k : k + 2000] @ x.T >= 0.93).sum(1) - 1 for k in range(0, len(x), 2000)])
+    assert want.sum() >= 20_000 and (got <= want).all()
+    assert got.sum() >= 0.997 * want.sum()
+
+
+def test_hits_grow_with_the_label():
+    few, many = (cap_filters.hits_for(64, n, 0.93, 0.99, 8) for n in (1000, 200_000))
+    assert few < many
+    for n, hits in ((1000, few), (200_000, many)):
+        assert cap_filters.found_share(64, cap_filters.number_of_words(n, hits, 8), hits, 0.93) >= 0.99
