@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,12 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "learned")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")  # the alphabet and the least length of the values that ``assign`` labels
 SAMPLE = 500
+SYMBOLS = 1 << 17  # of the values of a kind that are learned from, in all: the states of their prefix tree
 ALPHA = 0.05
 _RUN = np.zeros(256, bool)
-_RUN[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
+_RUN[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 _CLASS = {c: "0" for c in "0123456789"} | {c: "a" for c in "abcdef"} | {c: "z" for c in "ghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEF"} | {c: "Z" for c in "GHIJKLMNOPQRSTUVWXYZ"}
 
 
@@ -39,7 +42,7 @@ def shape(value: str) -> str:
 # Learning ----------------------------------------------------------------------------------------
 
 
-@dataclass
+@dataclass(slots=True)
 class State:
     ends: int = 0
     seen: int = 0
@@ -73,23 +76,33 @@ class Automaton:
                 at = here.to[c]
             self.states[at].seen += 1
             self.states[at].ends += 1
+        self.bad: set[tuple[int, int]] = set()
         self._merge_all(alpha)
+        self.bad.clear()
         self.floor = -math.inf
 
     def _compatible(self, a: int, b: int, alpha: float) -> bool:
-        todo = [(a, b)]
+        """``bad`` keeps pairs known to differ until states change: formats of one length compare the same pairs again and again."""
+        todo = [(a, b, None)]
         while todo:
-            x, y = (self.states[k] for k in todo.pop())
-            if _differ(x.ends, x.seen, y.ends, y.seen, alpha):
+            node = todo.pop()
+            x, y = self.states[node[0]], self.states[node[1]]
+            if y.seen * 2 <= math.log(2 / alpha):  # so few samples never differ from anything, nor do parts of them
+                continue
+            if node[:2] in self.bad or _differ(x.ends, x.seen, y.ends, y.seen, alpha) or any(
+                    _differ(x.counts.get(c, 0), x.seen, y.counts.get(c, 0), y.seen, alpha) for c in {*x.counts, *y.counts}):
+                if len(self.bad) > 1 << 20:
+                    self.bad.clear()
+                while node is not None:
+                    self.bad.add(node[:2])
+                    node = node[2]
                 return False
-            for c in {*x.counts, *y.counts}:
-                if _differ(x.counts.get(c, 0), x.seen, y.counts.get(c, 0), y.seen, alpha):
-                    return False
-            todo += [(x.to[c], y.to[c]) for c in x.to if c in y.to]
+            todo += [(x.to[c], y.to[c], node) for c in x.to if c in y.to]
         return True
 
     def _fold(self, a: int, b: int) -> None:
         """Add the subtree ``b`` to the state ``a`` and what follows it."""
+        self.bad.clear()
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
@@ -151,9 +164,7 @@ def learn(credentials: dict[str, list[str]], alpha: float = ALPHA, share: float
 
 
 def is_secret(value: str, automata: list[Automaton]) -> bool:
-    """Whether a token of some length, with letters and digits, looks like the formats learned."""
-    if not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-        return False
+    """Whether a token looks like the formats learned: as likely as their own samples, whatever its characters."""
     s = shape(value)
     return any(a.likelihood(s) >= a.floor for a in automata)
 
@@ -172,28 +183,52 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return found
 
 
-def _hex_spans(text: str) -> list[tuple[int, str, int]]:
-    return [(m.start(), "hex", m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= LEAST["hex"]]
-
-
 def in_order(spans: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
+def _tokens(run: str) -> Iterator[list[tuple[int, int]]]:
+    """Ways to read a run of token characters, to be tried in turn: whole, without the points around it, in parts between points."""
+    yield [(0, len(run))]
+    if "." in run:
+        inner = run.strip(".")
+        start = run.index(inner) if inner else 0
+        yield [(start, start + len(inner))]
+        if "." in inner:
+            ends = [m.start() for m in re.finditer(r"\.", run)]
+            yield list(zip([0, *(e + 1 for e in ends)], [*ends, len(run)], strict=True))
+
+
 def find_spans(text: str, automata: list[Automaton] = (), runs: bool = True) -> list[tuple[int, str, int]]:
-    """All spans in order. ``runs=False`` says that the text has no run of 16 token characters."""
+    """All spans in order. ``runs=False`` says that the text has no run of 12 token characters.
+
+    Tokens inside a fixed pattern's span are left to it; one that reaches beyond is scored whole.
+    """
     found = base_spans(text)
     if runs:
-        found += _hex_spans(text)
+        matches = list(CANDIDATE.finditer(text))
+        # a run of hex digits lies in one run of token characters
+        found += [(m.start() + h.start(), "hex", m.start() + h.end()) for m in matches if m.end() - m.start() >= LEAST["hex"]
+                  for h in HEX.finditer(m.group()) if h.end() - h.start() >= LEAST["hex"]]
         if automata:
-            own = list(found)
-            for m in CANDIDATE.finditer(text):
-                if not any(a < m.end() and m.start() < b for a, _, b in own) and is_secret(m.group(), automata):
-                    found.append((m.start(), "learned", m.end()))
+            own = sorted((a, b) for a, _, b in found)
+            starts, reach = [a for a, _ in own], list(accumulate((b for _, b in own), max))
+
+            def inside(a, b):
+                k = bisect_right(starts, a)
+                return k > 0 and reach[k - 1] >= b
+
+            for m in matches:
+                for parts in _tokens(m.group()):
+                    learned = [(m.start() + a, "learned", m.start() + b) for a, b in parts if b - a >= LEAST["assign"]
+                               and not inside(m.start() + a, m.start() + b) and is_secret(m.group()[a:b], automata)]
+                    if learned:
+                        found += learned
+                        break
     return in_order(found)
 
 
-def _has_run(column: pa.Array, least: int = 16) -> np.ndarray:
+def _has_run(column: pa.Array, least: int = LEAST["assign"]) -> np.ndarray:
     """Which rows hold a run of ``least`` token characters, by a pass over the bytes."""
     data, offsets = column_bytes(column)
     run = np.concatenate([[False], _RUN[data], [False]])
@@ -208,7 +243,10 @@ def _has_run(column: pa.Array, least: int = 16) -> np.ndarray:
 
 
 def credentials(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> dict[str, list[str]]:
-    """For each kind up to ``sample`` distinct values that the fixed patterns label as credentials, those of smallest hash."""
+    """For each kind up to ``sample`` distinct values that the fixed patterns label as credentials, those of smallest hash.
+
+    Values are whole; so many are taken that they have at most ``SYMBOLS`` characters together.
+    """
     bound_batches(docs)
 
     def extract(batches):
@@ -217,20 +255,25 @@ def credentials(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -
             for text, runs in zip(batch.column("text").to_pylist(), _has_run(batch.column("text")), strict=True):
                 for a, kind, b in find_spans(text, runs=bool(runs)):
                     value = ASSIGN.fullmatch(text[a:b]).group(2) if kind == "assign" else text[a:b]
-                    out.add((kind, value[:256]))
+                    out.add((kind, value))
             kinds, values = zip(*sorted(out), strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = stored(texts.mapInArrow(extract, "kind string, value string").distinct(), "credentials")
-    return {k: [r.value for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample).collect()] for k in KINDS[:3]}
+    out = {}
+    for kind in KINDS[:3]:
+        first = found.where((F.col("kind") == kind) & (F.length("value") <= SYMBOLS)).orderBy(F.xxhash64("value"), "value")
+        total = accumulate(r.n for r in first.select(F.length("value").alias("n")).limit(sample).collect())
+        out[kind] = [r.value for r in first.select("value").limit(sum(n <= SYMBOLS for n in total)).collect()]
+    return out
 
 
 def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """``docs`` with ``spans``, an array of (kind, start, end) in code points, end exclusive, by start and kind.
 
-    Kinds: ``assign``, ``access``, ``hex`` by the fixed patterns; ``learned``: tokens of 16 characters or more
-    outside those, accepted by an automaton. ``automata`` are learned from ``docs`` unless given. A null text
+    Kinds: ``assign``, ``access``, ``hex`` by the fixed patterns; ``learned``: tokens of 12 characters or more
+    outside those or reaching beyond them, accepted by an automaton. ``automata`` are learned from ``docs`` unless given. A null text
     is empty. ``keep`` names the other columns to carry (all by default); a column ``spans`` is replaced.
     """
     automata = learn(credentials(docs, text_col=text_col)) if automata is None else automata

@@ -190,6 +190,31 @@ def test_scan_adds_learned_spans(spark):
     assert len(found) >= 25 and rows[900] == []
 
 
+def formats(seed, n=60):
+    """Keys of 12 characters, dotted ones, of one class, longer than 256, and with a run of hex digits inside."""
+    rng = np.random.default_rng(seed)
+    some = lambda chars, k: "".join(rng.choice(list(chars), k))
+    upper, digits, hexes = "GHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+    make = {
+        "short": lambda: "k" + some(digits, 1) + "-" + some(upper, 4) + "-" + some(digits, 4),
+        "dotted": lambda: "eyJ" + some(upper, 9) + "." + some(upper, 12) + "." + some(upper, 9),
+        "letters": lambda: some(upper, 20),
+        "long": lambda: "blob/" + some(digits, 300),
+        "hex": lambda: "sk_live_" + some(hexes, 16) + "QWERTY",
+    }
+    return {name: [f() for _ in range(n)] for name, f in make.items()}
+
+
+@pytest.mark.parametrize("kind", ["short", "dotted", "letters", "long", "hex"])
+def test_learned_formats_without_keyword(spark, kind):
+    known, new = formats(1)[kind], formats(2, 20)[kind]
+    rows = [(k, f"token = {x} and") for k, x in enumerate(known)] + [(500 + k, f"see é {x}, or {x}.") for k, x in enumerate(new)]
+    docs = spark.createDataFrame([*rows, (900, "An unremarkably longwinded sentence-with-hyphens. Ends.")], "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in secret_scan.mask(docs).collect()}
+    clean = [k for k in range(20) if re.fullmatch(r"see é <\w+>, or <\w+>\.", masked[500 + k])]
+    assert len(clean) >= 16 and masked[900] == "An unremarkably longwinded sentence-with-hyphens. Ends."
+
+
 def test_scan_odd(odd, none):
     rows = secret_scan.scan(odd).collect()
     assert Counter((r.doc_id, r.text, tuple((s["start"], s["kind"], s["end"]) for s in r.spans)) for r in rows) == Counter((d, t, tuple(base(t or ""))) for d, t in ODD)
