@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sizing import stored
 from ..operators import joins, report, risk
 from ..sources import panels
 from .base import CUT, METRICS, register, sql
@@ -120,6 +121,15 @@ def risk_heatmap_table(spark, folder):
     return wide.select("server_id", *_DAYS)
 
 
+@register("risk_heatmap_days", sql("flagged", """SELECT server_id, timestamp, coalesce(arg_min(CASE risk_level WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, model) FILTER (WHERE model IS NOT NULL), 0) AS risk_code
+    FROM (SELECT DISTINCT server_id FROM flagged) CROSS JOIN (SELECT DISTINCT timestamp FROM flagged) LEFT JOIN flagged USING (server_id, timestamp) GROUP BY 1, 2"""))
+def risk_heatmap_days(spark, folder):
+    """The heat map over all days of the panel's forecasts, in long form."""
+    wide = risk.risk_matrix(stored(_codes(spark, folder), "codes"))
+    days = [c for c in wide.columns if c != "server_id"]
+    return wide.unpivot("server_id", days, "day", "risk_code").select("server_id", F.to_date("day").alias("timestamp"), "risk_code")
+
+
 @register("risk_by_dimension", sql("f_baseline dim", """SELECT region, server_id, count(*) OVER (PARTITION BY region) AS risky_servers FROM (SELECT DISTINCT server_id FROM f_baseline WHERE predicted > 53) JOIN dim USING (server_id)"""))
 def risk_by_dimension(spark, folder):
     risky = forecasts(spark, folder, ("baseline",)).filter("predicted > 53")
