@@ -68,11 +68,11 @@ def interpolate_linear(
     ``edges='forward'`` leaves a leading gap missing. ``regular=True`` reads positions from the
     date of a gap-free daily panel and saves the numbering pass.
     """
-    placed = df.withColumn("_pos", day_position(ts)) if regular else with_position(df, [entity], ts, name="_pos", hours=hours)
+    placed = df.withColumn("_pos", day_position(ts)) if regular else with_position(df, [entity], ts, [ts, *columns], "_pos", hours)
     held = {}
     for c in columns:
         held |= {f"v_{c}": F.col(c), f"p_{c}": F.when(F.col(c).isNotNull(), F.col("_pos"))}
-    near = neighbours(placed, [entity], ts, held, hours=hours)
+    near = neighbours(placed, [entity], ts, held, [ts, "_pos"], hours=hours)
     made = {}
     for c in columns:
         pv, pp = F.col(f"_prev_v_{c}"), F.col(f"_prev_p_{c}")

@@ -19,9 +19,9 @@ from .segments import (
     HALO,
     SEG,
     attach_by_segment,
-    day_position,
     open_chunks,
     running_totals,
+    with_position,
     with_row_windows,
     with_segment,
 )
@@ -165,7 +165,7 @@ def feature_matrix(
     outlier_window: int = P.OUTLIER_WINDOW, outlier_z: float = P.OUTLIER_Z,
     entity: str = P.ENTITY, ts: str = P.TS, category_values: dict[str, list] | None = None,
 ) -> DataFrame:
-    """The full feature table of a gap-free daily panel.
+    """The full feature table of a daily panel, by rows: days may be missing or repeated.
 
     Imputation, capping, calendar, lags, rolling statistics, trend and one-hot columns, then the
     warm-up rows are dropped. Capping, lags, rolling statistics and the running sums within a
@@ -173,16 +173,18 @@ def feature_matrix(
     across chunks come from a table with one row per chunk.
     """
     metrics = list(metrics)
-    filled = interpolate_linear(daily.select(entity, ts, *metrics), metrics, entity, ts, regular=True)
+    filled = interpolate_linear(daily.select(entity, ts, *metrics), metrics, entity, ts)
     longest = max([*lags, *windows])
-    chunked = open_chunks(filled, day_position(ts), longest + outlier_window - 1)
+    # rows of one day are in order of their values, so that both passes number them alike
+    placed = with_position(filled, [entity], ts, [ts, *metrics], "_pos")
+    chunked = open_chunks(placed, "_pos", longest + outlier_window - 1)
     chunked = chunked.withColumn("_own", F.when(F.col(HALO), 0.0).otherwise(1.0))
 
     def totals(v):
         held = {m: R.capped(v[m], outlier_window, outlier_z) for m in metrics}
         return {f"_t_{m}": np.where(v["_own"] > 0, held[m], np.nan) for m in metrics}
 
-    sums = R.over_chunks(chunked, entity, ts, [*metrics, "_own"], [f"_t_{m}" for m in metrics], totals, [entity, CHUNK])
+    sums = R.over_chunks(chunked, entity, "_pos", [*metrics, "_own"], [f"_t_{m}" for m in metrics], totals, [entity, CHUNK])
     per = sums.groupBy(entity, CHUNK).agg(F.count(F.lit(1)).cast("double").alias("_n"), *[F.sum(f"_t_{m}").alias(f"_t_{m}") for m in metrics])
     before = Window.partitionBy(entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = ["_n", *[f"_t_{m}" for m in metrics]]
@@ -205,7 +207,7 @@ def feature_matrix(
             complete &= np.isfinite(x)
         return out | {R.ROWS: complete}
 
-    out = R.over_chunks(chunked, entity, ts, [*metrics, "_own", *earlier], names, kernel, [entity, ts])
+    out = R.over_chunks(chunked, entity, "_pos", [*metrics, "_own", *earlier], names, kernel, [entity, ts])
     first = daily.agg(F.min(F.to_date(F.col(ts)))).scalar()
     out = out.withColumns({
         "day_of_week": C.weekday(ts), "month": F.month(F.to_date(F.col(ts))), "is_weekend": C.is_weekend(ts),

@@ -178,3 +178,34 @@ def test_ks_and_fallback(spark):
     grid = np.unique(np.concatenate([a, b]))
     want = max(abs((a <= g).mean() - (b <= g).mean()) for g in grid)
     assert validate.ks_distance(df, "src", "v", "a", "b").first().ks_distance == pytest.approx(want)
+
+
+@pytest.mark.parametrize("kind", ["five days apart", "repeated"])
+def test_feature_matrix_by_rows(spark, kind):
+    """2,200 rows of one server, more than a chunk: lags, means and sums by row, with days missing or repeated."""
+    rng = np.random.default_rng(8)
+    n = 2200
+    days = [5 * k if kind == "five days apart" else k - k // 7 for k in range(n)]
+    x = np.round(rng.uniform(20, 80, n), 3)
+    rows = [("s0", day("1990-01-01") + dt.timedelta(days=d), float(v)) for d, v in zip(days, x)]
+    rows = sorted(rows, key=lambda r: r[1:])
+    x = np.array([r[2] for r in rows])
+    hole = 1000
+    rows[hole] = (*rows[hole][:2], None)
+    if kind == "repeated":
+        # a row without a value comes first among those of its day
+        same = [k for k in range(n) if rows[k][1] == rows[hole][1]]
+        rest = [x[k] for k in same if k != hole]
+        x[same[1:]] = rest
+        hole = same[0]
+    x[hole] = (x[hole - 1] + x[hole + 1]) / 2
+    if kind == "repeated":
+        x[same] = np.sort(x[same])  # the filled value is in the order of the values
+    out = features.feature_matrix(spark.createDataFrame(rows, SCHEMA), metrics=["cpu"], lags=(1, 7), windows=(7, 30), outlier_z=50.0).toPandas()
+    want = pd.DataFrame({"cpu": x})
+    want["cpu_lag_1d"], want["cpu_lag_7d"] = want.cpu.shift(1), want.cpu.shift(7)
+    want["cpu_roll_mean_7d"], want["cpu_roll_mean_30d"], want["cpu_cumulative"] = want.cpu.rolling(7).mean(), want.cpu.rolling(30).mean(), want.cpu.cumsum()
+    want = want.iloc[30:]
+    got = out.sort_values("cpu_cumulative")[list(want.columns)]
+    assert len(got) == n - 30
+    np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), rtol=1e-9)
