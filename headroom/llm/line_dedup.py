@@ -191,7 +191,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             answer = np.flatnonzero(there & (first != doc))
             out = [(-1, np.stack([doc[answer].view(np.uint64), lo[answer], hi[answer]], 1).tobytes())] if len(answer) else []
             cuts = np.flatnonzero(np.diff(shard[order], prepend=-2))
-            for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            # a slice may hold short, empty or heavy lines only: then there is no cut and no end
+            for a, b in zip(cuts, [*cuts[1:], *([len(order)] if len(order) else [])], strict=True):
                 o = order[a:b]
                 out.append((int(shard[o[0]]), np.stack([doc[o].view(np.uint64), lo[o], hi[o]], 1).tobytes()))
             if out:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, cap_filters, fingerprints, jaccard_join, line_dedup, packing, secret_scan, suffix_dedup, token_files, toxicity
+from . import bpe_codec, cap_filters, fingerprints, jaccard_join, license_scan, line_dedup, packing, secret_scan, spelling_variants, suffix_dedup, token_files, toxicity, vector_codes
 from .common import documents
 
 LINE_SQL = r"""
@@ -100,3 +100,30 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     placed = packing.packed_documents(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of seven letters or more that occur twice or more, with the more frequent words they vary."""
+    return spelling_variants.spelling_variants(documents(spark, folder))
+
+
+@query
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License wordings in all documents: where the fixed phrases stand, and the labels of all signature rules."""
+    found = license_scan.scan(documents(spark, folder).select("doc_id", "text"))
+    base = F.transform("base", lambda p: p["label"])
+    more = F.transform("detections", lambda d: d["label"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda p: p["start"])).alias("first_word"), F.array_max(F.transform("base", lambda p: p["start"])).alias("last_word"),
+        license_scan.label_list(base).alias("base_labels"), license_scan.label_list(F.concat(base, more)).alias("labels"), "score")
+
+
+@query
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, their errors, and a digest of the codebooks."""
+    coded, books = vector_codes.compress(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return coded.select(
+        F.col("id").alias("vec_id"), vector_codes.hex_code(F.col("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))

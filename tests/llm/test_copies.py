@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -170,6 +171,19 @@ def test_line_dedup_hot_line(spark):
     assert got == brute.line_dedup(docs)
 
 
+LONG_LINE = "one line of many words " * 20_000
+
+
+@pytest.mark.parametrize("docs", [
+    [(1, None)], [(1, "short"), (2, "short")], [(k, "one long line that all documents hold") for k in range(300)], [(1, LONG_LINE), (2, f"x\n{LONG_LINE}")], [(1, ""), (2, "\n\n")],
+])
+def test_line_dedup_few_keys(spark, docs):
+    """Slices of null, short or heavy lines only, and of one long line."""
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in line_dedup.drop_lines(frame).collect()}
+    assert got == brute.line_dedup(docs)
+
+
 def test_line_dedup_query(spark, small, small_docs):
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in queries.op8_line_dedup(spark, small).collect()}
     assert got == brute.line_dedup(small_docs)

@@ -94,7 +94,7 @@ def test_machine_learns_interactions():
     rng = np.random.default_rng(0)
     pairs, labels = [], []
     for _ in range(800):
-        a, b = rng.random(2) < 0.5
+        a, b = (int(x) for x in rng.random(2) < 0.5)
         pairs.append(np.array([1] * a + [2] * b + [3 + int(rng.integers(40))], np.int64))
         labels.append(float(a and b))
     machine = toxicity.FactorizationMachine.fit(pairs, np.array(labels), 8, 4, 30)
