@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.numeric import clip
+from ..functions.sizing import stored
+from .knn import nearest_values
 from .quantiles import exact_quantiles, melt
 from .rolling import capped, moments, with_chunk_kernel
 from .segments import (
@@ -195,84 +196,21 @@ def quality_flag(df: DataFrame, metric: str, imputed: DataFrame, flagged: str, e
     return both.withColumn("quality_flag", mark).drop("_was_null")
 
 
-def _nearest(x: np.ndarray, y: np.ndarray, k: int, step: int = 256) -> tuple[np.ndarray, ...]:
-    """Best ``k`` donor rows of each receiver and missing column within one block pair.
-
-    Returns receiver, column, distance and donor indices; ties go to the earlier donor.
-    """
-    xm, ym = ~np.isnan(x), ~np.isnan(y)
-    x0, y0 = np.where(xm, x, 0.0), np.where(ym, y, 0.0)
-    parts = []
-    for at in range(0, len(x), step):
-        part = slice(at, at + step)
-        square = np.zeros((len(x0[part]), len(y)))
-        present = np.zeros_like(square)
-        for j in range(x.shape[1]):
-            both = xm[part, j, None] & ym[None, :, j]
-            square += np.where(both, (x0[part, j, None] - y0[None, :, j]) ** 2, 0.0)
-            present += both
-        with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.round(np.sqrt(x.shape[1] / present * square), 9)
-        dist = np.where(present > 0, dist, np.inf)
-        for j in range(x.shape[1]):
-            rows = np.flatnonzero(~xm[part, j])
-            able = np.flatnonzero(ym[:, j])
-            if len(rows) and len(able):
-                d = dist[np.ix_(rows, able)]
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
-                near = np.take_along_axis(d, best, axis=1)
-                i = np.repeat(rows + at, best.shape[1])
-                ok = np.isfinite(near.ravel())
-                parts.append((i[ok], np.full(ok.sum(), j), near.ravel()[ok], able[best].ravel()[ok]))
-    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.empty(0, int),) * 4
-
-
 def impute_knn(
     df: DataFrame, features: Sequence[str], k: int = P.KNN_NEIGHBOURS,
-    entity: str = P.ENTITY, ts: str = P.TS, block_rows: int = 2048, hours: int = P.SEGMENT_HOURS,
+    entity: str = P.ENTITY, ts: str = P.TS, cell_rows: int = 256, hours: int = P.SEGMENT_HOURS,
 ) -> DataFrame:
     """Missing values take the mean of the ``k`` nearest rows of the same server that have them.
 
     Distance over co-present features, scaled up for the absent ones; ties by row position; the
-    server's column mean where no row is comparable. Rows are numbered and cut into blocks; each
-    task compares one receiver block with one donor block and keeps the best ``k`` per receiver,
-    which a ranking then merges. No pairs are emitted and no server is held in one task.
+    server's column mean where no row is comparable. The neighbours are exact, found by a grid of about
+    ``cell_rows`` rows a cell (``knn.py``): work grows with the rows, and no server is held in one task.
     """
     features = list(features)
-    placed = with_position(df, [entity], ts, name="_rid", hours=hours)
-    block = F.floor((F.col("_rid") - 1) / F.lit(block_rows)).cast("long")
-    cells = placed.select(entity, "_rid", *features).withColumn("_block", block)
-    missing = F.lit(False)
-    for c in features:
-        missing = missing | F.col(c).isNull()
-    blocks = cells.groupBy(entity).agg(F.max("_block").alias("_top"))
-    spread = attach_entity_stats(cells, blocks, [entity], "_rid")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_top")))
-    receivers = spread.filter(missing).withColumn("_donors", other).withColumnRenamed("_block", "_receivers").drop("_top")
-    donors = spread.withColumn("_receivers", other).withColumnRenamed("_block", "_donors").drop("_top")
-    donors = donors.select(*[F.col(c).alias(c) for c in donors.columns])
-    keys = [entity, "_receivers", "_donors"]
-    schema = T.StructType([
-        df.schema[entity],
-        T.StructField("_rid", T.LongType()), T.StructField("feature", T.StringType()),
-        T.StructField("_dist", T.DoubleType()), T.StructField("_donor", T.LongType()), T.StructField("_value", T.DoubleType()),
-    ])
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=schema.names)
-        right = right.sort_values("_rid", ignore_index=True)
-        y = right[features].to_numpy(float)
-        i, j, dist, d = _nearest(left[features].to_numpy(float), y, k)
-        return pd.DataFrame({
-            entity: left[entity].iloc[0], "_rid": left["_rid"].to_numpy()[i], "feature": np.array(features, dtype=object)[j],
-            "_dist": dist, "_donor": right["_rid"].to_numpy()[d], "_value": y[d, j],
-        }, columns=schema.names)
-
-    near = receivers.groupBy(*keys).cogroup(donors.groupBy(*keys)).applyInPandas(compare, schema)
-    order = Window.partitionBy(entity, "_rid", "feature").orderBy("_dist", "_donor")
-    top = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
-    means = top.groupBy(entity, "_rid").agg(*[F.avg(F.when(F.col("feature") == c, F.col("_value"))).alias(f"_k_{c}") for c in features])
-    fallback = df.groupBy(entity).agg(*[F.avg(c).alias(f"_a_{c}") for c in features])
+    # numbered once: rows of equal time must keep their number
+    placed = stored(with_position(df, [entity], ts, name="_rid", hours=hours), "numbered")
+    near = nearest_values(placed, features, k, entity, cell_rows)
+    means = near.groupBy(entity, "_rid").agg(*[F.avg(F.when(F.col("_feature") == i, F.col("_value"))).alias(f"_k_{c}") for i, c in enumerate(features)])
+    fallback = placed.groupBy(entity).agg(*[F.avg(c).alias(f"_a_{c}") for c in features])
     out = attach_entity_stats(placed, fallback, [entity], "_rid").join(means, [entity, "_rid"], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_k_{c}"), F.col(f"_a_{c}")) for c in features}).select(df.columns)

@@ -22,7 +22,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def session(cpus: int = 8) -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

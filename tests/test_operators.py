@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headroom.functions import calendar as C
 from headroom.functions import numeric as N
-from headroom.operators import clean, evaluate, features, forecast, joins, quantiles, regularise, risk, segments, validate
+from headroom.operators import clean, evaluate, features, forecast, joins, knn, quantiles, regularise, risk, segments, validate
 
 
 def day(text):
@@ -120,22 +120,65 @@ def test_dedup_keeps_first(spark):
     assert sorted(r.v for r in clean.dedup_by_key(df, tiebreak=["id"]).collect()) == ["y", "z"]
 
 
-@pytest.mark.parametrize("block", [4, 100])
-def test_knn_against_brute_force(spark, block):
-    rng = np.random.default_rng(5)
-    x = rng.uniform(0, 10, (30, 3)).round(2)
-    x[rng.random(x.shape) < 0.2] = np.nan
-    x[:, 2] = np.where(np.isnan(x[:, 2]), 1.0, x[:, 2])
-    df = spark.createDataFrame([("a", day("2024-01-01") + dt.timedelta(days=i), *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)],
-                               "server_id string, timestamp date, a double, b double, c double")
-    got = clean.impute_knn(df, ["a", "b", "c"], 3, block_rows=block).orderBy("timestamp").toPandas()[["a", "b", "c"]].to_numpy()
+def plain_knn(x, k):
     want = x.copy()
     for i, j in zip(*np.where(np.isnan(x))):
         both = ~np.isnan(x) & ~np.isnan(x[i])
-        d = np.sqrt(3 / both.sum(1) * np.where(both, (x - x[i]) ** 2, 0).sum(1)).round(9)
-        able = [r for r in np.argsort(d, kind="stable") if not np.isnan(x[r, j])][:3]
-        want[i, j] = x[able, j].mean()
-    np.testing.assert_allclose(got, want)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = np.sqrt(x.shape[1] / both.sum(1) * np.where(both, (x - x[i]) ** 2, 0).sum(1)).round(9)
+        able = [r for r in np.argsort(np.where(both.any(1), d, np.inf), kind="stable") if not np.isnan(x[r, j]) and both[r].any()][:k]
+        want[i, j] = x[able, j].mean() if able else np.nanmean(x[:, j])
+    return want
+
+
+def knn_frame(spark, x, names, server="a"):
+    rows = [(server, day("2024-01-01") + dt.timedelta(days=i), *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    return spark.createDataFrame(rows, f"server_id string, timestamp date, {', '.join(f'{c} double' for c in names)}").repartition(3)
+
+
+@pytest.mark.parametrize("cell, shape", [(6, "even"), (6, "tails"), (4, "steps"), (16, "alone"), (1000, "tails")])
+def test_knn_against_brute_force(spark, cell, shape):
+    """Exact however wide the cells are: even values, long tails with far outliers, few distinct values, rows nobody shares a value with."""
+    rng = np.random.default_rng(5)
+    x = rng.uniform(0, 10, (150, 4)).round(2)
+    if shape == "tails":
+        x = (rng.lognormal(0, 2.5, (150, 4)) * [1, 10, 100, 1]).round(3)
+    elif shape == "steps":
+        x = rng.integers(0, 3, (150, 4)).astype(float)
+    x[rng.random(x.shape) < 0.25] = np.nan
+    if shape == "alone":
+        x[:40], x[40:, 3] = np.nan, np.nan
+        x[:20, 3] = 1.0
+    got = clean.impute_knn(knn_frame(spark, x, "abcd"), list("abcd"), 3, cell_rows=cell).orderBy("timestamp").toPandas()[list("abcd")].to_numpy()
+    np.testing.assert_allclose(got, plain_knn(x, 3))
+
+
+def test_knn_work_grows_with_the_rows(spark):
+    """Pairs compared in the first round and receivers left after it, for one server at 1, 2 and 4 times the rows."""
+    pairs = []
+    for n in (1000, 2000, 4000):
+        rng = np.random.default_rng(n)
+        x = rng.normal(size=(n, 3)).round(4)
+        x[rng.random(n) < 0.2, 0] = np.nan
+        placed = knn_frame(spark, x, "abc").withColumn("_rid", F.datediff("timestamp", F.lit("2023-12-31")).cast("long"))
+        cases = knn.Cases([6, 7], 3)
+        donors = knn._members(placed, list("abc"), cases, cases.donors, "server_id")
+        grids = knn._grids(donors, "server_id", 2, 16)
+        d = knn.donor_cells(knn._binned(donors, grids, "server_id"), 0)
+        r = knn.receiver_cells(knn._binned(knn._members(placed, list("abc"), cases, cases.receivers, "server_id"), grids, "server_id"), 0)
+        cell = ["server_id", "_case", "_c0", "_c1", "_c2"]
+        many = lambda df, c: df.groupBy(*cell).agg(F.count(F.lit(1)).alias(c))
+        pairs.append(many(r, "r").join(many(d, "d"), cell).agg(F.sum(F.col("r") * F.col("d"))).first()[0])
+    assert pairs[2] < 6 * pairs[0] and pairs[2] < 0.2 * 800 * 3200, pairs
+
+
+def test_knn_hot_cell(spark):
+    """More donors and receivers in one cell than a task should hold are dealt over several."""
+    x = np.column_stack([np.random.default_rng(1).normal(size=120).round(5), np.zeros(120), np.arange(120) % 3])
+    x[::3, 0] = np.nan
+    got = clean.impute_knn(knn_frame(spark, x, "abc"), list("abc"), 4, cell_rows=5).orderBy("timestamp").toPandas()[list("abc")].to_numpy()
+    np.testing.assert_allclose(got, plain_knn(x, 4))
+    assert clean.impute_knn(knn_frame(spark, x[:0], "abc"), list("abc")).count() == 0
 
 
 def test_assign_by_share(spark):
