@@ -1,9 +1,10 @@
 """Exact interpolated quantiles without collecting a group.
 
-``percentile`` keeps every distinct value of a group in one buffer. That is fine for groups of
-proven size (the days of one server) but not for a whole table or a hot key. Here a mergeable
-sketch brackets each wanted rank first; a second pass counts what lies below the bracket and
-keeps only the few distinct values inside it, so the result is exact and no task sees a group.
+Groups of at most ``accuracy`` values are sorted whole: their size is counted first. In larger ones the
+values at the wanted ranks are found by distributed selection. Each pass takes cuts from a mergeable sketch
+of the values still in question, counts every bin between two cuts and every cut itself exactly, and goes on
+inside the bin that holds the rank. A cut is a bin of its own, so heavy ties end the search instead of
+holding it up, and counts, not sketches, say where a rank lies. No task ranks or holds a large group.
 """
 
 from __future__ import annotations
@@ -13,9 +14,77 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segments import attach_entity_stats
+from .. import params as P
+from ..functions.sizing import forget, stored
+from .segments import bin_of
 
 _ACCURACY = 10_000
+_CUTS = 1_000
+
+
+def _attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], more: Column | None = None, salts: int = P.SALTS) -> DataFrame:
+    """Inner join of a small table to the rows, NULL keys included; a hot key's rows are spread over ``salts``."""
+    mine = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in table.columns if c not in keys]).withColumn(
+        "_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    meet = F.col("_salt") == F.col("_r_salt")
+    for k in keys:
+        meet = meet & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(salts)).cast("int"))
+    return salted.join(mine, meet if more is None else meet & more).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+
+
+def _ranks(probs: Sequence[float], n: Column) -> Column:
+    """For each probability the two ranks, from 0, that its quantile lies between, and how far."""
+    h = [F.lit(float(p)) * (n - F.lit(1).cast("double")) for p in probs]
+    return F.array(*[F.struct(
+        F.lit(float(p)).alias("prob"), F.floor(x).cast("long").alias("_k"), F.least(F.floor(x).cast("long") + 1, n - 1).alias("_next"), (x - F.floor(x)).alias("_part"),
+    ) for p, x in zip(probs, h, strict=True)])
+
+
+def select_ranks(data: DataFrame, keys: Sequence[str], wanted: DataFrame, accuracy: int = _ACCURACY, cuts: int = _CUTS) -> DataFrame:
+    """``keys, _rank, _value``: the values of ``data (keys, _x)`` at the ranks of ``wanted (keys, _rank, _low, _high)``.
+
+    ``_low`` and ``_high`` are the least and greatest value of the group. The driver sees one number a pass,
+    how many ranks are left. Raises if a rank is in no bin, which only a change of ``data`` in between can cause.
+    """
+    state = stored(wanted.withColumn("_below", F.lit(0).cast("long")), "ranks")
+    found, many = [state.where("_low = _high")], state.count()
+    state = state.where("_low < _high")
+    left = state.count()
+    done = many - left
+    grid = [i / cuts for i in range(1, cuts)]
+    while left:
+        bracket = [*keys, "_low", "_high"]
+        brackets = state.select(*bracket, "_below").distinct()
+        inside = stored(_attach(data, brackets.drop("_below"), keys, (F.col("_x") >= F.col("_low")) & (F.col("_x") <= F.col("_high"))), "inside")
+        sketch = inside.groupBy(*bracket).agg(F.array_distinct(F.percentile_approx("_x", grid, accuracy)).alias("_cuts"))
+        placed = _attach(inside, sketch, bracket)
+        at = bin_of(F.col("_x"), F.col("_cuts"), 32)
+        placed = placed.withColumn("_at", at)
+        # an open bin before each cut, and the cut itself
+        bins = placed.withColumn("_bin", F.col("_at") * 2 + F.coalesce((F.get("_cuts", F.col("_at")) == F.col("_x")).cast("int"), F.lit(0)))
+        counts = bins.groupBy(*bracket, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+        over = Window.partitionBy(*bracket).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("_upto", F.sum("_n").over(over))
+        theirs = counts.select(*[F.col(c).alias(f"_r{c}") for c in bracket], "_n", "_upto", "_least", "_most")
+        meet = (F.col("_rank") < F.col("_below") + F.col("_upto")) & (F.col("_rank") >= F.col("_below") + F.col("_upto") - F.col("_n"))
+        for c in bracket:
+            meet = meet & F.col(c).eqNullSafe(F.col(f"_r{c}"))
+        narrowed = state.join(theirs, meet).select(
+            *keys, "_rank", F.col("_least").alias("_low"), F.col("_most").alias("_high"), (F.col("_below") + F.col("_upto") - F.col("_n")).alias("_below"))
+        narrowed = stored(narrowed, "ranks")
+        forget(inside)
+        found.append(narrowed.where("_low = _high"))
+        state = narrowed.where("_low < _high")
+        now = state.count()
+        done += found[-1].count()
+        if done + now != many:
+            raise RuntimeError(f"{many - done - now} ranks are in no bin: the table has changed")
+        left = now
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select(*keys, "_rank", F.col("_low").alias("_value"))
 
 
 def exact_quantiles(
@@ -25,49 +94,39 @@ def exact_quantiles(
     probs: Sequence[float],
     name: str = "quantile",
     accuracy: int = _ACCURACY,
+    cuts: int = _CUTS,
 ) -> DataFrame:
-    """Long table ``keys, prob, quantile`` with linear interpolation; NULL values are ignored."""
-    data = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    # The sketch errs by n / accuracy ranks. Four times that brackets both ranks an interpolated
-    # quantile needs once a group has more than `accuracy` values; smaller groups are ranked whole.
-    margin = 4.0 / accuracy
-    low = [max(0.0, p - margin) for p in probs]
-    high = [min(1.0, p + margin) for p in probs]
-    sketch = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", low, accuracy).alias("_lo"),
-        F.percentile_approx("_x", high, accuracy).alias("_hi"),
-    )
-    one, small = F.lit(1).cast("double"), F.col("_n") <= accuracy
-    targets = F.array(*[F.struct(
-        F.lit(float(p)).alias("prob"),
-        F.floor(F.lit(float(p)) * (F.col("_n") - one)).cast("long").alias("k"),
-        (F.lit(float(p)) * (F.col("_n") - one)).alias("h"),
-        F.col("_n").alias("n"),
-        F.when(small | F.lit(p <= margin), F.lit(float("-inf"))).otherwise(F.get(F.col("_lo"), F.lit(i))).alias("lo"),
-        F.when(small | F.lit(p >= 1 - margin), F.lit(float("inf"))).otherwise(F.get(F.col("_hi"), F.lit(i))).alias("hi"),
-    ) for i, p in enumerate(probs)])
-    wanted = sketch.select(*keys, targets.alias("_t"))
-    if keys:
-        rows = attach_entity_stats(data, wanted, keys, "_x")
-    else:
-        rows = data.withColumn("_t", wanted.select("_t").scalar())
-    each = rows.select(*keys, "_x", F.explode("_t").alias("_t")).filter(F.col("_x") <= F.col("_t.hi"))
-    inside = F.when(F.col("_x") >= F.col("_t.lo"), F.col("_x"))
-    cols = [F.col("_t.prob").alias("prob"), F.col("_t.k").alias("_rk"), F.col("_t.h").alias("_rh"), F.col("_t.n").alias("_rn")]
-    counts = each.select(*keys, *cols, inside.alias("_x")).groupBy(*keys, "prob", "_rk", "_rh", "_rn", "_x").agg(
-        F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys, "prob").orderBy(F.col("_x").asc_nulls_first())
-    ranked = counts.withColumn("_upto", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first, second = F.col("_rk"), F.least(F.col("_rk") + 1, F.col("_rn") - 1)
-    covers = lambda r: (F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)
-    picked = ranked.groupBy(*keys, "prob").agg(
-        F.max(F.when(covers(first), F.col("_x"))).alias("_a"),
-        F.max(F.when(covers(second), F.col("_x"))).alias("_b"),
-        F.max("_rh").alias("_h"), F.max("_rk").alias("_k"),
-    )
-    blend = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_h") - F.col("_k"))
-    return picked.select(*keys, "prob", blend.alias(name))
+    """Long table ``keys, prob, quantile`` with linear interpolation; NULL values are ignored, NULL keys are a group."""
+    data = stored(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x")), "values")
+    blend = lambda a, b, part: a + (b - a) * part
+    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+    large = stored(sizes.where(F.col("_n") > accuracy), "sizes")
+    some = not large.isEmpty()
+    # sorted whole: proven to hold at most `accuracy` values
+    small = data
+    if some:
+        hit = F.lit(True)
+        theirs = large.select(*[F.col(k).alias(f"_l_{k}") for k in keys])
+        for k in keys:
+            hit = hit & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
+        small = data.join(theirs, hit, "left_anti") if keys else data.limit(0)
+    sorted_ = small.groupBy(*keys).agg(F.array_sort(F.collect_list("_x")).alias("_all")).where(F.size("_all") > 0)
+    each = sorted_.select(*keys, "_all", F.explode(_ranks(probs, F.size("_all").cast("long"))).alias("_t"))
+    out = each.select(*keys, F.col("_t.prob").alias("prob"), blend(
+        F.get("_all", F.col("_t._k").cast("int")), F.get("_all", F.col("_t._next").cast("int")), F.col("_t._part")).alias(name))
+    if not some:
+        return out
+    targets = large.select(*keys, "_low", "_high", F.explode(_ranks(probs, F.col("_n"))).alias("_t"))
+    ranks = targets.select(*keys, "_low", "_high", F.explode(F.array("_t._k", "_t._next")).alias("_rank")).distinct()
+    picked = select_ranks(data, keys, ranks, accuracy, cuts)
+    wide = targets.select(*keys, "_t.*")
+    for side in ("_k", "_next"):
+        theirs = picked.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_rank"), F.col("_value").alias(f"_at{side}"))
+        meet = F.col(side) == F.col("_rank")
+        for k in keys:
+            meet = meet & F.col(k).eqNullSafe(F.col(f"_p_{k}"))
+        wide = wide.join(theirs, meet).drop("_rank", *[f"_p_{k}" for k in keys])
+    return out.unionByName(wide.select(*keys, "prob", blend(F.col("_at_k"), F.col("_at_next"), F.col("_part")).alias(name)))
 
 
 def quantile_columns(long: DataFrame, keys: Sequence[str], names: dict[float, str], value: str = "quantile") -> DataFrame:
@@ -79,4 +138,3 @@ def quantile_columns(long: DataFrame, keys: Sequence[str], names: dict[float, st
 def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), name: str = "metric", value: str = "value") -> DataFrame:
     """Metric columns to rows."""
     return df.unpivot([F.col(k) for k in keys], [F.col(c) for c in columns], name, value)
-

@@ -91,15 +91,25 @@ def test_running_totals_and_positions(spark):
     assert pdf["position"].tolist() == list(range(1, 41)) * 2
 
 
-def test_exact_quantiles_beyond_sketch_accuracy(spark):
+def test_exact_quantiles_by_selection(spark):
+    """Hot, tied and small groups, and rows without a key, beside numpy; 400 values are already too many to sort."""
     rng = np.random.default_rng(3)
-    hot = rng.normal(size=5000).round(4)
-    rows = [("hot", float(v)) for v in hot] + [("cold", 1.0), ("cold", 2.0)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    got = {(r.k, r.prob): r.quantile for r in quantiles.exact_quantiles(df, ["k"], "v", [0.0, 0.05, 0.5, 0.95, 1.0], accuracy=200).collect()}
-    for p in (0.0, 0.05, 0.5, 0.95, 1.0):
-        assert got["hot", p] == pytest.approx(np.quantile(hot, p), abs=1e-12)
-        assert got["cold", p] == pytest.approx(1 + p)
+    groups = {
+        "hot": rng.normal(size=3000).round(4), "tied": np.concatenate([np.full(2500, 7.0), rng.normal(7, 1, 60)]), "one": np.full(900, 2.5),
+        "steps": rng.integers(0, 4, 2000).astype(float), None: rng.lognormal(0, 4, 1500), "cold": np.array([1.0, 2.0]), "gone": np.array([]),
+    }
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("gone", None), ("cold", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    probs = [0.0, 0.003, 0.25, 0.5, 0.95, 0.9999, 1.0]
+    got = {(r.k, r.prob): r.quantile for r in quantiles.exact_quantiles(df, ["k"], "v", probs, accuracy=400, cuts=8).collect()}
+    assert len(got) == 6 * len(probs)
+    for k, x in groups.items():
+        for p in probs if len(x) else ():
+            assert got[k, p] == pytest.approx(np.quantile(x, p), rel=1e-12), (k, p)
+    every = np.concatenate(list(groups.values()))
+    whole = quantiles.exact_quantiles(df, [], "v", [0.1, 0.95], accuracy=100, cuts=20).collect()
+    assert [r.quantile for r in sorted(whole)] == [pytest.approx(np.quantile(every, p), rel=1e-12) for p in (0.1, 0.95)]
+    assert quantiles.exact_quantiles(df.filter("v IS NULL"), [], "v", [0.5]).count() == 0
 
 
 def test_resample(spark):
