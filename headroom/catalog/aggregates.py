@@ -101,33 +101,44 @@ def _codes(spark, folder):
 _CODES = sql("flagged", """SELECT server_id, timestamp, arg_min(CASE risk_level WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, model) AS risk_code FROM flagged GROUP BY 1, 2""")
 
 
-@register("pivot_first", _CODES)
-def pivot_first(spark, folder):
+@register("risk_codes", _CODES)
+def risk_codes(spark, folder):
+    """The cells of the heat map that have a value, in long form."""
     return _codes(spark, folder)
 
 
-_DAYS = [f"2001-12-{d:02d}" for d in range(1, 8)]
+def _matrix_sql(cell: str) -> str:
+    return sql("flagged", f"""SELECT server_id, DATE '1970-01-01' + CAST({risk.BLOCK_DAYS} * block AS INTEGER) AS block_start, count(*) AS n_days,
+    string_agg({cell}, ',' ORDER BY timestamp) AS codes
+    FROM (SELECT DISTINCT server_id FROM flagged) CROSS JOIN (SELECT DISTINCT timestamp, floor(datediff('day', DATE '1970-01-01', timestamp) / {risk.BLOCK_DAYS}.0) AS block FROM flagged)
+    LEFT JOIN (SELECT server_id, timestamp, arg_min(CASE risk_level WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, model) AS code FROM flagged GROUP BY 1, 2)
+    USING (server_id, timestamp) GROUP BY server_id, block""")
 
 
-_HEAT = "SELECT server_id, " + ", ".join(f"""coalesce(max(CASE WHEN timestamp = DATE '{d}' THEN code END), 0) AS "{d}\"""" for d in _DAYS) + (
-    " FROM (SELECT server_id, timestamp, arg_min(CASE risk_level WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, model) AS code FROM flagged GROUP BY 1, 2) GROUP BY 1")
+def _matrix_text(matrix):
+    """A row for each server and block: its values in order of the days, nothing where there is none."""
+    text = F.array_join(F.transform("values", lambda v: F.coalesce(v.cast("string"), F.lit(""))), ",")
+    start = F.date_from_unix_date(F.col("block") * F.lit(risk.BLOCK_DAYS))
+    return matrix.select("server_id", start.alias("block_start"), F.size("days").cast("long").alias("n_days"), text.alias("codes"))
 
 
-@register("risk_heatmap_table", sql("flagged", _HEAT))
-def risk_heatmap_table(spark, folder):
-    from datetime import date
+@register("pivot_first", _matrix_sql("coalesce(CAST(code AS VARCHAR), '')"))
+def pivot_first(spark, folder):
+    """The server x day matrix over all days, in blocks; cells without a row stay empty."""
+    return _matrix_text(risk.matrix_blocks(stored(risk.sparse_blocks(_codes(spark, folder)), "blocks")))
 
-    wide = risk.risk_matrix(_codes(spark, folder), [date.fromisoformat(d) for d in _DAYS])
-    return wide.select("server_id", *_DAYS)
+
+@register("risk_heatmap_table", _matrix_sql("CAST(coalesce(code, 0) AS VARCHAR)"))
+def risk_heatmap_table(spark, folder):
+    """The heat map over all days, in blocks; cells without a row are 0."""
+    return _matrix_text(risk.matrix_blocks(stored(risk.sparse_blocks(_codes(spark, folder)), "blocks"), 0))
 
 
 @register("risk_heatmap_days", sql("flagged", """SELECT server_id, timestamp, coalesce(arg_min(CASE risk_level WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, model) FILTER (WHERE model IS NOT NULL), 0) AS risk_code
     FROM (SELECT DISTINCT server_id FROM flagged) CROSS JOIN (SELECT DISTINCT timestamp FROM flagged) LEFT JOIN flagged USING (server_id, timestamp) GROUP BY 1, 2"""))
 def risk_heatmap_days(spark, folder):
     """The heat map over all days of the panel's forecasts, in long form."""
-    wide = risk.risk_matrix(stored(_codes(spark, folder), "codes"))
-    days = [c for c in wide.columns if c != "server_id"]
-    return wide.unpivot("server_id", days, "day", "risk_code").select("server_id", F.to_date("day").alias("timestamp"), "risk_code")
+    return risk.matrix_days(risk.matrix_blocks(stored(risk.sparse_blocks(_codes(spark, folder)), "blocks"), 0))
 
 
 @register("risk_by_dimension", sql("f_baseline dim", """SELECT region, server_id, count(*) OVER (PARTITION BY region) AS risky_servers FROM (SELECT DISTINCT server_id FROM f_baseline WHERE predicted > 53) JOIN dim USING (server_id)"""))

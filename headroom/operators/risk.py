@@ -145,8 +145,46 @@ def risk_code_table(df: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> Da
 
 
 def risk_matrix(codes: DataFrame, days: Sequence | None = None, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
-    """Wide heat map over a list of days; days without a row are 0. Without a list: all days of the table."""
+    """Wide heat map over a list of days; days without a row are 0. Without a list: all days of the table, a column each.
+
+    A table of many days is better left in rows: see ``matrix_blocks``.
+    """
     if days is None:
         days = [r[0] for r in codes.select(ts).distinct().orderBy(ts).collect()]  # one row per column made
-    wide = codes.groupBy(entity).pivot(ts, list(days)).agg(F.first("risk_code"))
-    return wide.na.fill(0)
+    return codes.groupBy(entity).pivot(ts, list(days)).agg(F.first("risk_code")).na.fill(0)
+
+
+BLOCK_DAYS = 64
+
+
+def sparse_blocks(codes: DataFrame, value: str = "risk_code", entity: str = P.ENTITY, ts: str = P.TS, days: int = BLOCK_DAYS) -> DataFrame:
+    """The server x day matrix as ``entity, block, cells``: one row for each server and block of ``days`` days that has a value.
+
+    ``cells`` maps a day (since 1970) to its value, of several at one day the earliest, so a row holds at
+    most ``days`` of them. There is no list of days, and none becomes a column. Rows without a day are left out.
+    """
+    day = F.unix_date(F.to_date(F.col(ts)))
+    one = codes.where(F.col(ts).isNotNull()).groupBy(entity, day.alias("_day")).agg(F.min_by(value, ts).alias("_value"))
+    block = F.floor(F.col("_day") / F.lit(days)).cast("int")
+    return one.groupBy(entity, block.alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("_day", "_value"))).alias("cells"))
+
+
+def matrix_blocks(blocks: DataFrame, fill=None, entity: str = P.ENTITY) -> DataFrame:
+    """The whole matrix, ``entity, block, days, values``: a row for each server and block, over the days that any server has.
+
+    ``days`` and ``values`` are arrays of one length; cells without a value hold ``fill``. The axis, each day
+    of the calendar once, is one value of the plan; rows meet their cells by server and block.
+    """
+    axis = blocks.select("block", F.explode(F.map_keys("cells")).alias("_day")).groupBy("block").agg(F.array_sort(F.collect_set("_day")).alias("days"))
+    whole = axis.agg(F.collect_list(F.struct("block", "days")).alias("_axis")).select("_axis").scalar()
+    grid = blocks.select(entity).distinct().select(entity, F.explode(whole).alias("_a")).select(entity, "_a.*")
+    mine = blocks.select(F.col(entity).alias("_r"), F.col("block").alias("_block"), "cells")
+    met = grid.join(mine, F.col(entity).eqNullSafe(F.col("_r")) & (F.col("block") == F.col("_block")), "left")
+    values = F.transform("days", lambda d: F.coalesce(F.try_element_at("cells", d), F.lit(fill)))
+    return met.select(entity, "block", "days", values.alias("values"))
+
+
+def matrix_days(matrix: DataFrame, name: str = "risk_code", entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+    """The cells of a matrix in long form."""
+    cells = matrix.select(entity, F.explode(F.arrays_zip("days", "values")).alias("_c"))
+    return cells.select(entity, F.date_from_unix_date("_c.days").alias(ts), F.col("_c.values").alias(name))

@@ -262,3 +262,21 @@ def test_feature_matrix_by_rows(spark, kind):
     got = out.sort_values("cpu_cumulative")[list(want.columns)]
     assert len(got) == n - 30
     np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), rtol=1e-9)
+
+
+def test_block_matrix(spark):
+    """All days of all servers, days before 1970, several readings a day and a server without a name included."""
+    rng = np.random.default_rng(2)
+    rows = [(s, day("1969-10-01") + dt.timedelta(days=int(d)), int(rng.integers(0, 3))) for s in ("a", "b", None) for d in np.sort(rng.choice(400, 150, replace=False))]
+    codes = spark.createDataFrame(rows + [("lone", day("2030-05-05"), 2), ("a", None, 1)], "server_id string, timestamp date, risk_code int")
+    blocks = risk.sparse_blocks(codes, days=7)
+    sizes = [len(r.cells) for r in blocks.collect()]
+    assert max(sizes) <= 7 and sum(sizes) == len(rows) + 1
+    cells = risk.matrix_days(risk.matrix_blocks(blocks, 0)).collect()
+    axis = {r[1] for r in rows} | {day("2030-05-05")}
+    want = {(s, d): 0 for s in ("a", "b", None, "lone") for d in axis} | {(s, d): c for s, d, c in rows} | {("lone", day("2030-05-05")): 2}
+    assert {(r.server_id, r.timestamp): r.risk_code for r in cells} == want and len(cells) == len(want)
+    assert sum(v is None for r in risk.matrix_blocks(blocks).collect() for v in r["values"]) == len(want) - len(rows) - 1
+    hours = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, h), h) for h in (9, 3, 5)], "server_id string, timestamp timestamp_ntz, risk_code int")
+    assert [r.cells for r in risk.sparse_blocks(hours).collect()] == [{19723: 3}]
+    assert risk.matrix_blocks(risk.sparse_blocks(codes.limit(0))).count() == 0

@@ -30,7 +30,7 @@ def test_entry(spark):
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
 def test_heatmap_has_all_days(spark):
     mine = queries()["risk_heatmap_days"](spark, SMALL).toPandas()
-    codes = queries()["pivot_first"](spark, SMALL).toPandas()
+    codes = queries()["risk_codes"](spark, SMALL).toPandas()
     assert mine.timestamp.nunique() == codes.timestamp.nunique() > 7
     assert len(mine) == codes.server_id.nunique() * codes.timestamp.nunique() and not mine.duplicated(["server_id", "timestamp"]).any()
     assert compare(mine, connect(SMALL).execute(oracle_sql()["risk_heatmap_days"]).df()) == ""
