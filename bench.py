@@ -38,7 +38,7 @@ def main() -> None:
 
     named = {
         "load_validate": load_validate,
-        "interpolate_all": lambda: clean.interpolate_linear(panels.supplier_spine(spark, folder), METRICS, regular=True),
+        "interpolate_all": lambda: clean.interpolate_linear(panels.supplier_spine(spark, folder), METRICS, regular=BUILT),
         "feature_matrix_rows": full_matrix,
     }
     keys = ["dedup_by_key", "describe_stats", "lag_features", "rolling_stats", "cumulative_sum", "p95_rollup", "forecast_weekday_mean", "forecast_table",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean
+from ..operators.segments import BUILT
 from ..sources import panels
 from .base import METRICS, interpolated, register, sql
 
@@ -39,7 +40,7 @@ def fill_forward_backward(spark, folder):
 
 @register("interpolate_linear", sql("spine", interpolated(_TWO, "spine")), _TWO)
 def interpolate_linear(spark, folder):
-    return clean.interpolate_linear(_spine(spark, folder), _TWO, regular=True)
+    return clean.interpolate_linear(_spine(spark, folder), _TWO, regular=BUILT)
 
 
 @register("interpolate_forward_only", sql("sparse", interpolated(_TWO, "sparse", "forward")), _TWO)
@@ -105,8 +106,8 @@ def impute_knn(spark, folder):
 
 @register("winsorize_rolling_z", sql("capped", "SELECT * FROM capped"), METRICS)
 def winsorize_rolling_z(spark, folder):
-    filled = clean.interpolate_linear(panels.supplier_spine(spark, folder), METRICS, regular=True)
-    return clean.winsorize_rolling_z(filled, METRICS, regular=True)
+    filled = clean.interpolate_linear(panels.supplier_spine(spark, folder), METRICS, regular=BUILT)
+    return clean.winsorize_rolling_z(filled, METRICS, regular=BUILT)
 
 
 @register("rolling_anomaly_score", sql("metrics", """SELECT server_id, timestamp, CASE WHEN s > 1e-9 THEN (cpu_p95 - m) / s END AS cpu_p95_anomaly_score FROM (
@@ -153,7 +154,7 @@ def clean_panel_legacy(spark, folder):
     WINDOW w AS (PARTITION BY c.server_id ORDER BY c.timestamp ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))"""), ["cpu_p95"])
 def quality_flag(spark, folder):
     before = panels.supplier_spine(spark, folder).select("server_id", "timestamp", "cpu_p95")
-    filled = clean.interpolate_linear(before, ["cpu_p95"], regular=True)
-    scored = clean.rolling_anomaly_score(filled, ["cpu_p95"], regular=True)
+    filled = clean.interpolate_linear(before, ["cpu_p95"], regular=BUILT)
+    scored = clean.rolling_anomaly_score(filled, ["cpu_p95"], regular=BUILT)
     marked = scored.withColumn("_far", F.coalesce(F.abs("cpu_p95_anomaly_score") > 2, F.lit(False))).drop("cpu_p95_anomaly_score")
     return clean.quality_flag(before, "cpu_p95", marked, "_far").drop("_far")

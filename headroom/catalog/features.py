@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean, features, segments
+from ..operators.segments import BUILT
 from ..sources import panels
 from .base import METRICS, register, sql
 
@@ -39,8 +40,8 @@ def rolling_stats(spark, folder):
     [f"cpu_p95_roll_{s}_{n}d" for n in (7, 90) for s in _FN], 8)
 def rolling_stats_regular(spark, folder):
     daily = panels.supplier_spine(spark, folder).select("server_id", "timestamp", "cpu_p95")
-    filled = clean.interpolate_linear(daily, ["cpu_p95"], regular=True)
-    return features.rolling_stats(filled, ["cpu_p95"], (7, 90), regular=True).drop("cpu_p95")
+    filled = clean.interpolate_linear(daily, ["cpu_p95"], regular=BUILT)
+    return features.rolling_stats(filled, ["cpu_p95"], (7, 90), regular=BUILT).drop("cpu_p95")
 
 
 _FULL = [f"cpu_p95_rolling_{s}{n}" for n in (7, 14, 30) for s in ("mean", "std")]

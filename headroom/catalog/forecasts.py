@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizing import scratch, stored
 from ..operators import evaluate, forecast, joins
+from ..operators.segments import BUILT
 from ..operators.validate import describe_stats
 from ..sources import panels
 from .base import CUT, register, sql
@@ -71,7 +72,33 @@ _DF = sql("cpu", """SELECT server_id, n AS observations, b / sqrt((syy - b * sxy
 
 @register("stationarity_df", _DF, ["df_statistic"], 5)
 def stationarity_df(spark, folder):
-    return forecast.stationarity(cpu_panel(spark, folder), "cpu_p95", regular=True)
+    return forecast.stationarity(cpu_panel(spark, folder), "cpu_p95", regular=BUILT)
+
+
+def _adf_sql(lags: int) -> str:
+    """The same regressions by orthogonalising: what the changes before leave of level and change, one lag after the other."""
+    back = ", ".join(f"lag(cpu_p95, {i}) OVER w AS l{i}" for i in range(1, lags + 2))
+    names = ["x", "y", *[f"d{i}" for i in range(1, lags + 1)]]
+    steps = [f"l AS (SELECT server_id, cpu_p95 AS l0, {back} FROM cpu WINDOW w AS (PARTITION BY server_id ORDER BY timestamp))",
+             "raw AS (SELECT server_id, l1 AS x, l0 - l1 AS y" + "".join(f", l{i} - l{i + 1} AS d{i}" for i in range(1, lags + 1)) + f" FROM l WHERE l{lags + 1} IS NOT NULL)",
+             "s0 AS (SELECT server_id, " + ", ".join(f"{c} - avg({c}) OVER (PARTITION BY server_id) AS {c}" for c in names) + " FROM raw)"]
+    for k in range(1, lags + 1):
+        left = ["x", "y", *[f"d{i}" for i in range(k + 1, lags + 1)]]
+        steps.append(f"s{k} AS (SELECT server_id, " + ", ".join(
+            f"{c} - sum({c} * d{k}) OVER (PARTITION BY server_id) / sum(d{k} * d{k}) OVER (PARTITION BY server_id) * d{k} AS {c}" for c in left) + f" FROM s{k - 1})")
+    fits = " UNION ALL ".join(f"""SELECT server_id, {k} AS lags, count(*) AS n, sum(x * y) / sum(x * x) AS b, sum(x * x) AS sxx,
+        sum(y * y) - sum(x * y) * sum(x * y) / sum(x * x) AS rss FROM s{k} GROUP BY 1""" for k in range(lags + 1))
+    z = "CASE WHEN t <= -1.61 THEN 2.1659 + t * (1.4412 + t * 0.038269) ELSE 1.7339 + t * (0.93202 + t * (-0.12745 - 0.010368 * t)) END"
+    tail = "exp(-z * z / 2) / sqrt(2 * pi()) * k * (0.319381530 + k * (-0.356563782 + k * (1.781477937 + k * (-1.821255978 + k * 1.330274429))))"
+    return sql("cpu", "").rstrip() + ", " + ", ".join(steps) + f""" SELECT server_id, n AS observations, lags, t AS adf_statistic, p AS p_value, p < 0.05 AS is_stationary FROM (
+        SELECT *, CASE WHEN t > 2.74 THEN 1.0 WHEN t < -18.83 THEN 0.0 WHEN z > 0 THEN 1 - {tail} ELSE {tail} END AS p FROM (SELECT *, 1 / (1 + 0.2316419 * abs(z)) AS k FROM (SELECT *, {z} AS z FROM (
+        SELECT server_id, n, lags, b / sqrt(rss / (n - lags - 2) / sxx) AS t, row_number() OVER (PARTITION BY server_id ORDER BY n * ln(rss / n) + 2.0 * (lags + 2)) AS place FROM ({fits})) WHERE place = 1)))"""
+
+
+@register("stationarity_adf", _adf_sql(5), ["adf_statistic", "p_value"], 5)
+def stationarity_adf(spark, folder):
+    """The augmented test with up to five earlier changes, as many as the AIC takes."""
+    return forecast.augmented_stationarity(cpu_panel(spark, folder), "cpu_p95", 5, regular=BUILT)
 
 
 @register("describe_by_model", sql("forecast", " UNION ALL ".join(f"""SELECT '{m}' AS model, 'predicted' AS metric, count(predicted) AS count, avg(predicted) AS mean, stddev_samp(predicted) AS std, min(predicted) AS min,

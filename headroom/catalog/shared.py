@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.sizing import stored
 from ..operators import clean, forecast
+from ..operators.segments import BUILT
 from ..sources import panels
 from .base import CUT
 
@@ -13,7 +14,7 @@ from .base import CUT
 def cpu_panel(spark: SparkSession, folder: str) -> DataFrame:
     """Gap-free interpolated CPU series, stored because models read it more than once."""
     daily = panels.supplier_spine(spark, folder).select("server_id", "timestamp", "cpu_p95")
-    return stored(clean.interpolate_linear(daily, ["cpu_p95"], regular=True), "panel")
+    return stored(clean.interpolate_linear(daily, ["cpu_p95"], regular=BUILT), "panel")
 
 
 def forecasts(spark: SparkSession, folder: str, models=("baseline", "additive")) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean, features, validate
+from ..operators.segments import BUILT
 from ..sources import panels
 from .base import METRICS, register, sql
 
@@ -164,7 +165,7 @@ def frequency_check(spark, folder):
     FROM cpu) GROUP BY 1""" for k in (1, 7, 30))), ["acf"])
 def autocorrelation(spark, folder):
     daily = panels.supplier_spine(spark, folder).select("server_id", "timestamp", "cpu_p95")
-    return validate.autocorrelation(clean.interpolate_linear(daily, ["cpu_p95"], regular=True), "cpu_p95", [1, 7, 30], regular=True)
+    return validate.autocorrelation(clean.interpolate_linear(daily, ["cpu_p95"], regular=BUILT), "cpu_p95", [1, 7, 30], regular=BUILT)
 
 
 @register("ks_distance", sql("panel", """SELECT max(abs(fa - fb)) AS ks_distance, any_value(ma - mb) AS mean_difference FROM (
@@ -182,7 +183,7 @@ def ks_distance(spark, folder):
 def compare_before_after(spark, folder):
     two = ["cpu_p95", "mem_p95"]
     before = panels.supplier_spine(spark, folder).select("server_id", "timestamp", *two)
-    return validate.compare_before_after(before, clean.interpolate_linear(before, two, regular=True), two)
+    return validate.compare_before_after(before, clean.interpolate_linear(before, two, regular=BUILT), two)
 
 
 @register("entity_count_check", sql("readings", """SELECT count(DISTINCT server_id) AS servers, (SELECT count(*) FROM supplier) AS expected,

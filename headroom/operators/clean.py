@@ -17,9 +17,9 @@ from .quantiles import exact_quantiles, melt
 from .rolling import capped, moments, with_chunk_kernel
 from .segments import (
     attach_entity_stats,
-    day_position,
     last_before,
     neighbours,
+    row_positions,
     with_position,
 )
 
@@ -66,10 +66,10 @@ def interpolate_linear(
 ) -> DataFrame:
     """Linear between the neighbours by row position; the edges take the nearest value.
 
-    ``edges='forward'`` leaves a leading gap missing. ``regular=True`` reads positions from the
-    date of a gap-free daily panel and saves the numbering pass.
+    ``edges='forward'`` leaves a leading gap missing. ``regular`` reads positions from the date of a
+    gap-free daily panel and saves the numbering pass (``row_positions``).
     """
-    placed = df.withColumn("_pos", day_position(ts)) if regular else with_position(df, [entity], ts, [ts, *columns], "_pos", hours)
+    placed = row_positions(df, [entity], ts, regular, [ts, *columns], hours)
     held = {}
     for c in columns:
         held |= {f"v_{c}": F.col(c), f"p_{c}": F.when(F.col(c).isNotNull(), F.col("_pos"))}

@@ -260,6 +260,82 @@ def stationarity(
     return fit.select(entity, F.col("n").alias("observations"), t.alias("df_statistic"), F.coalesce(t < critical, F.lit(False)).alias("is_stationary"))
 
 
+# fixed values: response surface of the unit-root statistic with a constant (MacKinnon 1994): bounds, then
+# coefficients by rising power below and above the turning point
+_TAU_MIN, _TAU_TURN, _TAU_MAX = -18.83, -1.61, 2.74
+_TAU_SMALL = (2.1659, 1.4412, 0.038269)
+_TAU_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+# fixed values: rational approximation of the normal distribution (Abramowitz and Stegun 26.2.17)
+_NORMAL = (0.2316419, (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429))
+
+
+def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
+    total = F.lit(0.0)
+    for c in reversed(coefficients):
+        total = total * x + F.lit(c)
+    return total
+
+
+def normal_cdf(x: Column) -> Column:
+    """Standard normal distribution function, to 7 digits."""
+    slope, coefficients = _NORMAL
+    k = F.lit(1.0) / (F.lit(1.0) + F.lit(slope) * F.abs(x))
+    tail = F.exp(-x * x / 2) / F.lit(math.sqrt(2 * math.pi)) * k * _polynomial(coefficients, k)
+    return F.when(x > 0, F.lit(1.0) - tail).otherwise(tail)
+
+
+def unit_root_p_value(t: Column) -> Column:
+    """Approximate p-value of a unit-root statistic of a regression with a constant."""
+    z = F.when(t <= _TAU_TURN, _polynomial(_TAU_SMALL, t)).otherwise(_polynomial(_TAU_LARGE, t))
+    return F.when(t > _TAU_MAX, 1.0).when(t < _TAU_MIN, 0.0).when(t.isNotNull(), normal_cdf(z))
+
+
+def augmented_stationarity(
+    df: DataFrame, target: str, lags: int = 5, choose: bool = True, entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False, level: float = 0.05,
+) -> DataFrame:
+    """Augmented Dickey-Fuller test per server: change on the level before it, a constant and ``lags`` earlier changes.
+
+    One pass sums each server's Gram matrix of these columns, partly before the shuffle. Sweeping it column
+    by column then gives the regression with 0, 1, ... lags from the one before, all over the same rows; with
+    ``choose`` the number of lags of least AIC is taken, else ``lags``. Missing values are left out. A server
+    whose regression cannot be solved (too few rows, a constant series) has no statistic and is not stationary.
+    """
+    held = df if regular else df.filter(F.col(target).isNotNull())
+    # the constant takes up the shift, which keeps the sums small
+    centre = df.agg(F.avg(target).alias("_m")).select("_m").scalar()
+    before = with_row_windows(held, [entity], ts, lags + 1, lambda w: {f"_l{i}": F.lag(target, i).over(w) for i in range(1, lags + 2)}, regular)
+    at = [F.col(target).cast("double"), *[F.col(f"_l{i}").cast("double") for i in range(1, lags + 2)]]
+    columns = [F.lit(1.0), at[1] - centre, *[at[i] - at[i + 1] for i in range(1, lags + 1)], at[0] - at[1]]
+    last = len(columns) - 1
+    rows = before.filter(at[0].isNotNull() & at[-1].isNotNull()).select(entity, *[c.alias(f"_x{i}") for i, c in enumerate(columns)])
+    sums = {(i, j): F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_g{i}_{j}") for i in range(last + 1) for j in range(i, last + 1)}
+    gram = rows.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"), *sums.values())
+    g = lambda i, j: F.col(f"_g{i}_{j}")
+    gram = gram.withColumns({f"_g{j}_{i}": g(i, j) for i, j in sums if i < j} | {f"_d{i}": g(i, i) for i in range(last)})
+    fits = []
+    for k in range(last):
+        pivot = F.when(g(k, k) > F.col(f"_d{k}") * F.lit(1e-10), g(k, k))
+        swept = {f"_g{i}_{j}": g(i, j) - g(i, k) * g(k, j) / F.col("_p") for i in range(last + 1) for j in range(last + 1) if k not in (i, j)}
+        swept |= {f"_g{k}_{j}": g(k, j) / F.col("_p") for j in range(last + 1) if j != k} | {f"_g{i}_{k}": -g(i, k) / F.col("_p") for i in range(last + 1) if i != k}
+        gram = gram.withColumn("_p", pivot).withColumns(swept | {f"_g{k}_{k}": F.lit(1.0) / F.col("_p")})
+        if k >= 1:
+            used = k - 1
+            free = F.col("_n") - F.lit(used + 2)
+            squares = F.when((free > 0) & (g(last, last) > 0), g(last, last))
+            aic = F.col("_n") * F.log(squares / F.col("_n")) + F.lit(2.0 * (used + 2))
+            t = g(1, last) / F.sqrt(squares / free * g(1, 1))
+            gram = gram.withColumn(f"_f{used}", F.struct(aic.alias("aic"), F.lit(used).alias("lags"), t.alias("t")))
+            fits.append(F.col(f"_f{used}"))
+    able = F.filter(F.array(*fits), lambda f: f["t"].isNotNull())
+    best = F.array_min(able) if choose else F.get(F.filter(able, lambda f: f["lags"] == lags), 0)
+    out = gram.withColumn("_best", best)
+    t = F.col("_best.t")
+    return out.select(
+        entity, F.col("_n").alias("observations"), F.col("_best.lags").alias("lags"), t.alias("adf_statistic"), unit_root_p_value(t).alias("p_value"),
+        F.coalesce(unit_root_p_value(t) < level, F.lit(False)).alias("is_stationary"),
+    )
+
+
 def rolling_origin(
     df: DataFrame, target: str, cuts: Sequence[str], horizon: int = P.HORIZON, min_rows: int = P.MIN_HISTORY,
     entity: str = P.ENTITY, ts: str = P.TS,

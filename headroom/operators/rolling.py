@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .. import params as P
-from .segments import CHUNK, HALO, day_position, open_chunks, with_position
+from .segments import CHUNK, HALO, open_chunks, row_positions
 
 # a kernel may also return a boolean under this name: the rows to keep
 ROWS = "_rows"
@@ -119,10 +119,7 @@ def with_chunk_kernel(
     entity: str = P.ENTITY, ts: str = P.TS, regular: bool = False, rows: int = P.CHUNK_ROWS, hours: int = P.SEGMENT_HOURS,
 ) -> DataFrame:
     """Add (or replace) double columns that a kernel computes from rows at most ``lookback`` back."""
-    if regular:
-        chunked, by = open_chunks(df, day_position(ts), lookback, rows), ts
-    else:
-        chunked, by = open_chunks(with_position(df, [entity], ts, name="_pos", hours=hours), "_pos", lookback, rows), "_pos"
-    out = over_chunks(chunked, entity, by, inputs, names, kernel, df.columns)
+    chunked = open_chunks(row_positions(df, [entity], ts, regular, hours=hours), "_pos", lookback, rows)
+    out = over_chunks(chunked, entity, "_pos", inputs, names, kernel, df.columns)
     return out.select(*df.columns, *[n for n in names if n not in df.columns])
 

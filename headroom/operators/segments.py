@@ -150,6 +150,36 @@ def day_position(ts: str) -> Column:
     return F.unix_date(F.to_date(F.col(ts))).cast("long")
 
 
+#: ``regular=BUILT``: the caller has made the daily axis itself (``fill_calendar``), so it need not be checked.
+BUILT = "built"
+
+
+def gap_free(df: DataFrame, entity: Sequence[str], ts: str) -> bool:
+    """Whether every entity has each day from its first to its last exactly once.
+
+    One aggregate per entity: as many rows as days, and their hashes cancel those of the days out.
+    """
+    day = F.unix_date(F.to_date(F.col(ts)))
+    per = df.groupBy(*entity).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(day).alias("_held"), F.min(day).alias("_a"), F.max(day).alias("_b"), F.bit_xor(F.xxhash64(day)).alias("_h"))
+    days = F.aggregate(F.sequence("_a", "_b"), F.lit(0).cast("long"), lambda s, d: s.bitwiseXOR(F.xxhash64(d)))
+    right = (F.col("_n") == F.col("_held")) & (F.col("_n") == F.col("_b") - F.col("_a") + 1)
+    return per.where(~F.when(right, days == F.col("_h")).otherwise(False)).isEmpty()
+
+
+def row_positions(
+    df: DataFrame, entity: Sequence[str], ts: str, regular: bool | str, order: Sequence[str] | None = None, hours: int = P.SEGMENT_HOURS,
+) -> DataFrame:
+    """Add ``_pos``, consecutive for consecutive rows of an entity.
+
+    A gap-free daily panel takes it from the date, without a shuffle. ``regular=True`` says that the panel
+    should be one: it is checked, and numbered like any other where days are missing or repeated.
+    """
+    if regular == BUILT or (regular and gap_free(df, entity, ts)):
+        return df.withColumn("_pos", day_position(ts))
+    return with_position(df, entity, ts, order, "_pos", hours)
+
+
 def open_chunks(df: DataFrame, position: str | Column, lookback: int, rows: int = P.CHUNK_ROWS) -> DataFrame:
     """Give each row its chunk and copy the last ``lookback`` rows of a chunk into the next one."""
     pos = F.col(position) if isinstance(position, str) else position
@@ -174,7 +204,7 @@ def with_row_windows(
     ts: str,
     lookback: int,
     columns,
-    regular: bool = False,
+    regular: bool | str = False,
     order: Sequence[str] | None = None,
     rows: int = P.CHUNK_ROWS,
     hours: int = P.SEGMENT_HOURS,
@@ -182,14 +212,11 @@ def with_row_windows(
     """Add window columns that look back at most ``lookback`` rows of the same entity.
 
     ``columns`` maps a window specification to ``{name: column}``. A gap-free daily panel
-    (``regular=True``) takes positions from the date and needs a single shuffle; other panels
-    are numbered first.
+    (``regular``, see ``row_positions``) takes positions from the date and needs a single shuffle;
+    other panels are numbered first.
     """
     order = list(order or [ts])
-    if regular:
-        open_, by = open_chunks(df, day_position(ts), lookback, rows), [ts]
-    else:
-        open_, by = open_chunks(with_position(df, entity, ts, order, "_pos", hours), "_pos", lookback, rows), ["_pos"]
+    open_, by = open_chunks(row_positions(df, entity, ts, regular, order, hours), "_pos", lookback, rows), ["_pos"]
     made = columns(chunk_window(entity, by))
     open_ = open_.withColumns(made)
     return close_chunks(open_).drop("_pos")

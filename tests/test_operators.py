@@ -280,3 +280,58 @@ def test_block_matrix(spark):
     hours = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, h), h) for h in (9, 3, 5)], "server_id string, timestamp timestamp_ntz, risk_code int")
     assert [r.cells for r in risk.sparse_blocks(hours).collect()] == [{19723: 3}]
     assert risk.matrix_blocks(risk.sparse_blocks(codes.limit(0))).count() == 0
+
+
+def plain_adf(y, lags, most):
+    """t of the level by dense least squares, over the rows that ``most`` lags leave; and the AIC."""
+    d = np.diff(y)
+    rows = np.arange(most, len(d))
+    x = np.column_stack([np.ones(len(rows)), y[rows], *[d[rows - i] for i in range(1, lags + 1)]])
+    beta, *_ = np.linalg.lstsq(x, d[rows], rcond=None)
+    rss = ((d[rows] - x @ beta) ** 2).sum()
+    error = np.sqrt(rss / (len(rows) - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+    return beta[1] / error, len(rows) * np.log(rss / len(rows)) + 2 * x.shape[1]
+
+
+@pytest.mark.parametrize("lags", [0, 2, 5])
+def test_augmented_stationarity(spark, lags):
+    rng = np.random.default_rng(8)
+    walk, noise = np.cumsum(rng.normal(size=300)) + 50, np.zeros(300)
+    for i in range(2, 300):
+        noise[i] = 0.5 * noise[i - 1] - 0.4 * noise[i - 2] + rng.normal()
+    made = {"walk": walk, "noise": noise + 900, "trend": np.arange(300) + noise, "flat": np.full(300, 3.0), "short": walk[: lags + 2]}
+    rows = [(k, day("2020-01-01") + dt.timedelta(days=3 * i), float(v)) for k, y in made.items() for i, v in enumerate(y)] + [("walk", day("2019-01-01"), None)]
+    df = spark.createDataFrame(rows, "server_id string, timestamp date, cpu double").repartition(3)
+    fixed = {r.server_id: r for r in forecast.augmented_stationarity(df, "cpu", lags, choose=False).collect()}
+    chosen = {r.server_id: r for r in forecast.augmented_stationarity(df, "cpu", lags).collect()}
+    for k in ("walk", "noise", "trend"):
+        assert fixed[k].is_stationary == (plain_adf(made[k], lags, lags)[0] < -2.86)
+        assert fixed[k].adf_statistic == pytest.approx(plain_adf(made[k], lags, lags)[0], rel=1e-6) and fixed[k].observations == 299 - lags
+        best = min(range(lags + 1), key=lambda p: plain_adf(made[k], p, lags)[1])
+        assert chosen[k].lags == best and chosen[k].adf_statistic == pytest.approx(plain_adf(made[k], best, lags)[0], rel=1e-6)
+    assert fixed["noise"].is_stationary and fixed["noise"].p_value < 1e-4 and not fixed["trend"].is_stationary and fixed["trend"].p_value > 0.5
+    for k in ("flat", "short"):
+        assert fixed[k].adf_statistic is None and fixed[k].p_value is None and not fixed[k].is_stationary
+    # published 1, 5 and 10 % points of the statistic
+    points = spark.createDataFrame([(-3.43,), (-2.86,), (-2.57,)], "t double").select(forecast.unit_root_p_value(F.col("t")).alias("p")).collect()
+    assert [round(r.p, 2) for r in points] == [0.01, 0.05, 0.1]
+
+
+@pytest.mark.parametrize("kind", ["daily", "five", "repeated", "balanced"])
+def test_regular_is_checked(spark, kind):
+    """Panels said to be regular that are not: days five apart, a repeated day, a missing and a repeated one."""
+    days = {"daily": range(40), "five": range(0, 200, 5), "repeated": [*range(40), 39], "balanced": [*range(39), 38]}[kind]
+    days = [0, 1, 2, *days[4:]] + [days[-1]] if kind == "balanced" else list(days)
+    rows = [("a", day("2023-12-01") + dt.timedelta(days=d), None if i % 6 == 2 else float(i * i % 17)) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert segments.gap_free(df, ["server_id"], "timestamp") == (kind == "daily")
+    values = [r[2] for r in rows]
+    if kind in ("daily", "five"):
+        made = segments.with_row_windows(df, ["server_id"], "timestamp", 3, lambda w: {"back": F.lag("cpu", 3).over(w)}, True, rows=8).orderBy("timestamp").collect()
+        assert [r.back for r in made] == [None] * 3 + values[:-3]
+        got = [r.cpu for r in clean.interpolate_linear(df, ["cpu"], regular=True).orderBy("timestamp").collect()]
+        np.testing.assert_allclose(got, pd.Series(values).interpolate(limit_direction="both"))
+    else:
+        assert clean.interpolate_linear(df, ["cpu"], regular=True).where("cpu IS NULL").count() == 0
+    lagged = features.lag_features(df, ["cpu"], (1, 3), regular=True)
+    assert lagged.count() == len(rows) and lagged.where("cpu_lag_3d IS NOT NULL").count() == sum(v is not None for v in values[:-3])
