@@ -23,6 +23,7 @@ def main() -> None:
     from headroom.catalog import QUERIES
     from headroom.catalog.base import METRICS
     from headroom.operators import clean, features, validate
+    from headroom.operators.segments import BUILT
     from headroom.sources import panels
 
     def run(df) -> None:

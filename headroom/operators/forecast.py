@@ -340,17 +340,31 @@ def rolling_origin(
     df: DataFrame, target: str, cuts: Sequence[str], horizon: int = P.HORIZON, min_rows: int = P.MIN_HISTORY,
     entity: str = P.ENTITY, ts: str = P.TS,
 ) -> DataFrame:
-    """Weekday-mean forecasts from several origins: each fold trains before its cut and is scored on the horizon after it."""
+    """Weekday-mean forecasts from several origins: each fold trains before its cut and is scored on the horizon after it.
+
+    Every row is reduced once, into the span between two cuts that it lies in; a fold's training sums are those
+    of the spans before its cut. Only rows of a horizon are copied, so what is shuffled does not grow with the folds.
+    """
     d = F.to_date(F.col(ts))
-    folds = F.array(*[F.struct(F.lit(i + 1).alias("fold"), _cut(c).alias("cut")) for i, c in enumerate(cuts)])
-    each = df.select(entity, d.alias(ts), F.col(target).alias("y")).withColumn("_f", F.explode(folds)).select(
-        entity, ts, "y", "_f.fold", "_f.cut")
-    train = each.filter(F.col(ts) < F.col("cut")).groupBy(entity, "fold", C.weekday(ts).alias("weekday")).agg(
-        F.sum("y").alias("s"), F.count("y").alias("n"), F.count(F.lit(1)).alias("rows"))
-    means = train.groupBy(entity, "fold").agg(
-        F.sum("rows").alias("_rows"), F.map_from_entries(F.collect_set(F.struct("weekday", F.try_divide("s", F.col("n").cast("double"))))).alias("_means"),
-    ).filter(F.col("_rows") >= min_rows)
-    test = each.filter((F.col(ts) >= F.col("cut")) & (F.col(ts) < F.date_add("cut", horizon)))
+    order = sorted({str(c) for c in cuts})
+    folds = F.array(*[F.struct(F.lit(i + 1).alias("fold"), _cut(c).alias("cut"), F.lit(order.index(str(c))).alias("upto")) for i, c in enumerate(cuts)])
+    span = F.size(F.filter(F.array(*[_cut(c) for c in order]), lambda c: c <= d))
+    sums = df.filter(d.isNotNull()).groupBy(entity, C.weekday(ts).alias("weekday"), span.alias("span")).agg(
+        F.coalesce(F.sum(target), F.lit(0.0)).alias("s"), F.count(target).alias("n"), F.count(F.lit(1)).alias("rows"))
+    # a server has at most seven weekdays in each span
+    parts = sums.groupBy(entity).agg(F.collect_list(F.struct("span", "weekday", "s", "n", "rows")).alias("_parts")).withColumn("_f", F.explode(folds))
+    before = parts.select(entity, "_f.fold", F.filter("_parts", lambda p: p["span"] <= F.col("_f.upto")).alias("_parts"))
+    add = lambda xs, name, zero: F.aggregate(xs, zero, lambda a, p: a + p[name])
+
+    def mean(w):
+        own = F.filter("_parts", lambda p: p["weekday"] == w)
+        return F.struct(w.alias("weekday"), F.try_divide(add(own, "s", F.lit(0.0)), add(own, "n", F.lit(0).cast("long")).cast("double")).alias("mean"))
+
+    days = F.array_distinct(F.transform("_parts", lambda p: p["weekday"]))
+    means = before.select(entity, "fold", add(F.col("_parts"), "rows", F.lit(0).cast("long")).alias("_rows"), F.map_from_entries(F.transform(days, mean)).alias("_means"))
+    means = means.filter(F.col("_rows") >= min_rows)
+    mine = F.filter(folds, lambda f: (f["cut"] <= F.col(ts)) & (F.col(ts) < F.date_add(f["cut"], horizon)))
+    test = df.select(entity, d.alias(ts), F.col(target).alias("y")).select(entity, ts, "y", F.explode(mine).alias("_f")).select(entity, ts, "y", "_f.fold")
     scored = attach_entity_stats(test, means, [entity, "fold"], ts).filter(F.col("_rows").isNotNull())
     return scored.select(entity, "fold", ts, F.col("y").alias("actual"), F.try_element_at(F.col("_means"), C.weekday(ts)).alias("predicted"))
 

@@ -12,20 +12,16 @@ from ..functions import calendar as C
 from .quantiles import exact_quantiles, melt, quantile_columns
 
 # fixed values: server-type profiles (type, name, base CPU %, base memory %, base disk %,
-# CPU-memory correlation, spike probability, business-hours factor, weekend factor, description)
+# CPU-memory correlation, spike probability, business-hours factor, weekend factor)
 PROFILES = (
-    ("web", "Web Server", 45.0, 35.0, 20.0, 0.5, 0.03, 1.6, 0.5,
-     "High CPU/network correlation, business hours sensitive, request-driven"),
-    ("database", "Database Server", 35.0, 70.0, 55.0, 0.6, 0.01, 1.3, 0.7,
-     "High memory/disk, steady state, data growth trend"),
-    ("application", "Application Server", 50.0, 55.0, 30.0, 0.7, 0.02, 1.5, 0.6,
-     "Balanced resources, strong business hours pattern, moderate spikes"),
-    ("batch", "Batch Processing Server", 30.0, 45.0, 40.0, 0.4, 0.08, 0.8, 1.2,
-     "Spiky CPU, off-hours processing, scheduled job patterns"),
+    ("web", "Web Server", 45.0, 35.0, 20.0, 0.5, 0.03, 1.6, 0.5),
+    ("database", "Database Server", 35.0, 70.0, 55.0, 0.6, 0.01, 1.3, 0.7),
+    ("application", "Application Server", 50.0, 55.0, 30.0, 0.7, 0.02, 1.5, 0.6),
+    ("batch", "Batch Processing Server", 30.0, 45.0, 40.0, 0.4, 0.08, 0.8, 1.2),
 )
 _PROFILE_SCHEMA = (
     "server_type string, profile_name string, base_cpu double, base_memory double, base_disk double, "
-    "cpu_memory_corr double, spike_probability double, business_hours_factor double, weekend_factor double, description string"
+    "cpu_memory_corr double, spike_probability double, business_hours_factor double, weekend_factor double"
 )
 
 

@@ -35,13 +35,6 @@ def with_segment(df: DataFrame, ts: str, hours: int = P.SEGMENT_HOURS) -> DataFr
     return df.withColumn(SEG, segment_of(ts, hours))
 
 
-def densest_span(df: DataFrame, entity: Sequence[str], ts: str) -> int:
-    """Most rows any entity has in one hour: the number to size ``segment_hours`` by."""
-    hour = F.date_trunc("hour", F.col(ts))
-    per_hour = df.groupBy(*entity, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
-    return per_hour.agg(F.max("_n")).first()[0] or 0
-
-
 def attach_by_segment(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join a table with one row per (entity, segment) to the rows."""
     mine = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in table.columns if c not in keys])

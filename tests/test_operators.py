@@ -335,3 +335,19 @@ def test_regular_is_checked(spark, kind):
         assert clean.interpolate_linear(df, ["cpu"], regular=True).where("cpu IS NULL").count() == 0
     lagged = features.lag_features(df, ["cpu"], (1, 3), regular=True)
     assert lagged.count() == len(rows) and lagged.where("cpu_lag_3d IS NOT NULL").count() == sum(v is not None for v in values[:-3])
+
+
+def test_rolling_origin(spark):
+    """Folds in any order, overlapping horizons, missing values and a short server, beside plain means."""
+    rng = np.random.default_rng(4)
+    rows = [(s, day("2021-01-01") + dt.timedelta(days=i), None if rng.random() < 0.1 else float(rng.normal())) for s, n in (("a", 400), ("b", 90)) for i in range(n)]
+    cuts = ["2021-12-01", "2021-04-15", "2021-11-20"]
+    got = forecast.rolling_origin(spark.createDataFrame(rows, SCHEMA).repartition(3), "cpu", cuts, 30, 100).collect()
+    want = {}
+    for fold, cut in enumerate(map(day, cuts), 1):
+        train = [r for r in rows if r[0] == "a" and r[1] < cut]
+        for s, d, v in rows:
+            if s == "a" and len(train) >= 100 and cut <= d < cut + dt.timedelta(days=30):
+                same = [y for _, t, y in train if t.weekday() == d.weekday() and y is not None]
+                want[fold, d] = (v, pytest.approx(np.mean(same)))
+    assert {(r.fold, r.timestamp): (r.actual, r.predicted) for r in got} == want and len(got) == len(want) and {f for f, _ in want} == {1, 2, 3}
