@@ -48,10 +48,17 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
             at, done = end, int(size[end - 1])
 
 
-def worker_state(name: str, make: Callable[[], object]):
-    """One object per Python worker and name, kept between the tasks it runs (models, caches)."""
+def worker_state(name: str, make: Callable[[], object], alone: bool = False):
+    """One object per Python worker and name, kept between the tasks it runs (models, caches).
+
+    An object made ``alone`` drops what earlier stages have left in the worker.
+    """
     home = sys.modules.setdefault("_headroom_worker", types.ModuleType("_headroom_worker"))
     if not hasattr(home, name):
+        if alone:
+            for old in [k for k in vars(home) if not k.startswith("__")]:
+                delattr(home, old)
+            pa.default_memory_pool().release_unused()
         setattr(home, name, make())
     return getattr(home, name)
 

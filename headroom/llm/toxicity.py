@@ -182,7 +182,7 @@ def score(docs: DataFrame, model: bytes, bits: int = BITS, text_col: str = "text
     with_text = text_col in kept
 
     def run(batches):
-        machine = worker_state(f"machine_{hash(shared.value)}", lambda: FactorizationMachine.from_bytes(shared.value))
+        machine = worker_state(f"machine_{hash(shared.value)}", lambda: FactorizationMachine.from_bytes(shared.value), alone=True)
         for batch in text_slices(batches):
             values = machine.scores(*terms(pc.fill_null(batch.column("text"), ""), bits), batch.num_rows)
             columns = [batch.column("row"), *([batch.column("text")] if with_text else []), pa.array(values)]

@@ -186,7 +186,7 @@ class RankEncoder(Encoder):
 
 def file_encoder(content: str, words: bool) -> FileEncoder:
     kind = f"encoder_{words}_{hash(content)}"
-    return worker_state(kind, lambda: FileEncoder(content, words))
+    return worker_state(kind, lambda: FileEncoder(content, words), alone=True)
 
 
 def id_lists(encoded: list[bytes]) -> pa.ListArray:
