@@ -58,9 +58,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     ``f`` maps a length so that no set of lengths that fits one bin sums to more than the capacity; then the
     sum of ``f`` over all lengths, divided by the capacity, bounds the bins.
     """
-    if not len(lengths):
-        return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity) if len(lengths) else 0
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of ``count[n]`` pieces of each length ``n`` up to the capacity."""
     size = np.arange(capacity + 1)
     best = -(-int((count * size).sum()) // capacity)
     above, volume = np.cumsum(count[::-1])[::-1], np.concatenate([[0], np.cumsum(count * size)])
@@ -98,15 +100,18 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return where, offset
 
 
-def _packed(capacity: int, last: bool, seed: int):
+def _packed(capacity: int, seed: int):
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("uid", "ascending")])
         lengths = table.column("length").to_numpy()
         where, offset = best_fit_decreasing(lengths, capacity)
         bins = int(where.max()) + 1
         fill = np.bincount(where, weights=lengths, minlength=bins)
-        certified = bins <= lower_bound(lengths, capacity)
-        settled = np.ones(len(where), bool) if certified or last else (fill == capacity)[where]
+        full = fill == capacity
+        if bins <= lower_bound(lengths, capacity):  # proven: all it can lose is what its emptiest bin leaves
+            full[:] = True
+            full[np.argmin(fill)] = fill.min() == capacity
+        settled = full[where]
         part = table.column("part").to_numpy()
         sequence = (np.int64(seed) << 56) + (part.astype(np.int64) << 28) + where
         return pa.Table.from_arrays([table.column("uid"), table.column("length"), pa.array(sequence), pa.array(offset), pa.array(settled)],
@@ -119,30 +124,44 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     """``uid, sequence_id, offset`` of every piece; pieces have a unique ``uid`` and a ``length`` up to the capacity.
 
     Pieces are dealt by hash into partitions of about ``part_pieces``, however many there are, and packed
-    best fit decreasing. A partition whose bins equal its lower bound is proven optimal and settled; of the
-    others the full bins are settled and the pieces of open bins are exchanged: dealt anew into fewer
-    partitions and packed again, until all are certified or a round leaves as many pieces as it got.
+    best fit decreasing. A partition whose bins equal its lower bound is proven optimal and keeps all but its
+    emptiest bin; of the others the full bins are settled. The pieces of all other bins are exchanged: dealt
+    anew, into partitions twice as large (up to ``2 ** (rounds - 1)`` times), and packed again, until all
+    bins together equal the lower bound of all pieces, one partition held the rest, or ``rounds`` are over.
+    ``certificate`` tells how far from the bound that is.
     """
     spark = pieces.sparkSession
     rest = pieces.select("uid", "length")
-    n, done = rest.count(), None
+    count = _length_counts(rest, capacity)
+    n, bound, closed, done = int(count.sum()), bound_of_counts(count, capacity), 0, None
     for seed in range(1, rounds + 1):
-        parts = max(1, -(-n // part_pieces))
+        if not n:
+            break
+        parts = max(1, -(-n // (part_pieces << (seed - 1))))
         dealt = rest.select("*", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(parts)).cast("int").alias("part"))
-        out = stored(dealt.groupBy("part").applyInArrow(_packed(capacity, seed == rounds, seed), "uid long, length long, sequence_id long, offset long, settled boolean"), "packed")
-        settled = out.where("settled").select("uid", "sequence_id", "offset")
+        out = stored(dealt.groupBy("part").applyInArrow(_packed(capacity, seed), "uid long, length long, sequence_id long, offset long, settled boolean"), "packed")
+        bins, kept, n = out.agg(*(F.count_if(F.expr(x)) for x in ("offset = 0", "offset = 0 and settled", "not settled"))).first()
+        over = closed + bins <= bound or parts == 1 or seed == rounds
+        settled = (out if over else out.where("settled")).select("uid", "sequence_id", "offset")
         done = settled if done is None else done.unionByName(settled)
-        rest = out.where("not settled").select("uid", "length")
-        left = rest.count()
-        if not left:
-            break
-        if left > 0.9 * n or parts == 1:  # exchanging no longer helps: keep the last packing
-            done = done.unionByName(out.where("not settled").select("uid", "sequence_id", "offset"))
+        if over:
             break
-        n = left
+        rest, closed = out.where("not settled").select("uid", "length"), closed + kept
     return done if done is not None else spark.createDataFrame([], "uid long, sequence_id long, offset long")
 
 
+def _length_counts(pieces: DataFrame, capacity: int) -> np.ndarray:
+    out = np.zeros(capacity + 1, np.int64)
+    for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most one row a length
+        out[r.length] = r.n
+    return out
+
+
+def certificate(placed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """The sequences of ``placed`` (``length``, ``offset``) and the lower bound that no packing of its pieces can beat."""
+    return placed.where("offset = 0").count(), bound_of_counts(_length_counts(placed, capacity), capacity)
+
+
 def packed_documents(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int = CAPACITY, **settings) -> DataFrame:
     """The pieces of all documents with the sequence and the place that each has.
 
