@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import zlib
@@ -36,7 +37,10 @@ def bound_batches(docs: DataFrame) -> None:
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``limit`` bytes of text. A longer text is a slice of its own, so memory follows the longest row."""
+    """Slices of about ``limit`` bytes of text. A longer text is a slice of its own, so memory follows the longest row.
+
+    After the last one freed memory goes back to the system: an idle worker keeps no more than its state.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -46,6 +50,15 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
             end = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
             yield batch.slice(at, end - at)
             at, done = end, int(size[end - 1])
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library have freed but kept."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
 
 
 def worker_state(name: str, make: Callable[[], object], alone: bool = False):
@@ -58,7 +71,7 @@ def worker_state(name: str, make: Callable[[], object], alone: bool = False):
         if alone:
             for old in [k for k in vars(home) if not k.startswith("__")]:
                 delattr(home, old)
-            pa.default_memory_pool().release_unused()
+            give_back()
         setattr(home, name, make())
     return getattr(home, name)
 
@@ -84,6 +97,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
+_KEPT_POWERS = (1 << 20) + 1  # for slices of 1 MB; longer texts make their own
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -101,10 +115,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
-    have = worker_state("powers", lambda: [make(1 << 20)])
-    if len(have[0][0]) < n:
-        have[0] = make(max(n, 2 * len(have[0][0])))
-    return have[0]
+    return make(n) if n > _KEPT_POWERS else worker_state("powers", lambda: make(_KEPT_POWERS))
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +192,7 @@ class Sketch:
         self.bits, self.counts = bits, np.zeros(1 << bits, np.int64)
 
     def add(self, hashes: np.ndarray) -> None:
-        self.counts += np.bincount((hashes >> np.uint64(64 - self.bits)).astype(np.int64), minlength=len(self.counts))
+        np.add.at(self.counts, (hashes >> np.uint64(64 - self.bits)).astype(np.int64), 1)
 
     def blocks(self) -> tuple[list[int], list[bytes]]:
         cut = self.counts.reshape(SKETCH_BLOCKS, -1)
@@ -234,6 +245,20 @@ class Bitmap:
         return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([zlib.compress(cut[k].tobytes(), 1) for k in some], pa.binary())], names=["block", "bits"])
 
 
+BITS = "block int, bits binary"
+
+
+def bit_blocks(hashes: np.ndarray, bits: int) -> pa.Table:
+    """The blocks of a bitmap of ``hashes``; only those that have any are made, one after the other."""
+    at, size, rows = np.sort(hashes >> np.uint64(64 - bits)).astype(np.int64), (1 << bits) // SKETCH_BLOCKS, []
+    cut = np.searchsorted(at, np.arange(SKETCH_BLOCKS + 1) * size)
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        there = np.zeros(size, bool)
+        there[at[cut[k] : cut[k + 1]] - k * size] = True
+        rows.append((k, zlib.compress(np.packbits(there).tobytes(), 1)))
+    return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "bits": pa.array([r[1] for r in rows], pa.binary())})
+
+
 def bitmap(values: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
     """The packed bits of all hashes that ``hashes`` finds in the batches of ``values``; their size is fixed."""
     def note(batches):
@@ -242,6 +267,11 @@ def bitmap(values: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bi
             own.add(hashes(batch))
         yield own.blocks()
 
+    return united(values.mapInArrow(note, BITS), bits)
+
+
+def united(parts: DataFrame, bits: int) -> np.ndarray:
+    """The packed bits of the ``block, bits`` rows of all tasks; the driver gets one row per block."""
     def unite(batches):
         found: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -250,9 +280,8 @@ def bitmap(values: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bi
                 found[block] = found[block] | x if block in found else x
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in found.values()], pa.binary())], names=["block", "bits"])
 
-    schema = "block int, bits binary"
     out = np.zeros((SKETCH_BLOCKS, (1 << bits) // 8 // SKETCH_BLOCKS), np.uint8)
-    for r in spread(values.mapInArrow(note, schema), "block").mapInArrow(unite, schema).collect():
+    for r in spread(parts, "block").mapInArrow(unite, BITS).collect():
         out[r.block] |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
     return out.ravel()
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import forget, stored
-from .common import Sketch, bitmap, bucketed, components, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, unpacked
+from .common import BITS, Sketch, bit_blocks, bucketed, components, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, united, unpacked
 
 WIDTH = 5
 SHARE = (75, 100)
@@ -18,7 +18,7 @@ REPEAT_BITS = 25
 BUCKET_BYTES = 64 << 20  # of text behind one bucket of keys
 SIZES = 128  # the largest boundary that is considered
 ROUNDS = 2
-SLICE = 2 << 20
+SLICE = 1 << 20
 _TAG = np.uint64(0x51ED270B35AF1D4B)
 
 
@@ -114,10 +114,12 @@ def _key_buckets(batches, width: int, levels, light: int, share, buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """The keys of a bucket that several slices have, or one slice more than once."""
+    """The bits of the keys of a bucket that several slices have, or one slice more than once.
+
+    Made here and not by a ``mapInArrow`` behind it, which would keep twice as many workers.
+    """
     keys, count = np.unique(unpacked(table.column("grams")), return_counts=True)
-    found = np.union1d(keys[count > 1], unpacked(table.column("again")))
-    return pa.table({"grams": pa.array([found.tobytes()], pa.binary())})
+    return bit_blocks(np.union1d(keys[count > 1], unpacked(table.column("again"))), REPEAT_BITS)
 
 
 def _entries(batches, width: int, levels, light: int, share, repeated):
@@ -184,7 +186,7 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     buckets = max(16, -(-volume // BUCKET_BYTES))
     texts_only = base.where("doc_id is not null").select("text")
     packed = texts_only.mapInArrow(lambda b: _key_buckets(b, width, levels, light, share, buckets), "bucket int, grams binary, again binary")
-    repeated = spark.sparkContext.broadcast(bitmap(packed.groupBy("bucket").applyInArrow(_repeated, "grams binary"), lambda b: unpacked(b.column("grams")), REPEAT_BITS))
+    repeated = spark.sparkContext.broadcast(united(packed.groupBy("bucket").applyInArrow(_repeated, BITS), REPEAT_BITS))
     entries = stored(texts_only.mapInArrow(lambda b: _entries(b, width, levels, light, share, repeated), "key long, set long, n long, last long"), "entries")
     met = entries.where("key is not null").select("key", "set")
     common = met.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key")
