@@ -17,6 +17,7 @@ EPOCHS = 12
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_ROWS = 8
 LEAST_Z = 5.0
+SLICE = 1 << 20
 
 _LETTER = np.ones(256, dtype=bool)  # a-z, A-Z and all bytes beyond ASCII
 _LETTER[:128] = False
@@ -151,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def extract(batches):
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             row, term = terms(batch.column("text"), bits)
             at = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(term.astype(np.int32)))], names=["doc_id", "toxic", "terms"])
@@ -183,7 +184,7 @@ def score(docs: DataFrame, model: bytes, bits: int = BITS, text_col: str = "text
 
     def run(batches):
         machine = worker_state(f"machine_{hash(shared.value)}", lambda: FactorizationMachine.from_bytes(shared.value), alone=True)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             values = machine.scores(*terms(pc.fill_null(batch.column("text"), ""), bits), batch.num_rows)
             columns = [batch.column("row"), *([batch.column("text")] if with_text else []), pa.array(values)]
             yield pa.RecordBatch.from_arrays(columns, names=["row", *(["text"] if with_text else []), "score"])
