@@ -269,12 +269,13 @@ def credentials(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -
     return out
 
 
-def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
+def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str = "text", keep: tuple[str, ...] | None = None, masked: bool = False) -> DataFrame:
     """``docs`` with ``spans``, an array of (kind, start, end) in code points, end exclusive, by start and kind.
 
     Kinds: ``assign``, ``access``, ``hex`` by the fixed patterns; ``learned``: tokens of 12 characters or more
     outside those or reaching beyond them, accepted by an automaton. ``automata`` are learned from ``docs`` unless given. A null text
     is empty. ``keep`` names the other columns to carry (all by default); a column ``spans`` is replaced.
+    With ``masked`` the text comes back as ``mask`` describes, a null text as it is, made by the same worker.
     """
     automata = learn(credentials(docs, text_col=text_col)) if automata is None else automata
     bound_batches(docs)
@@ -289,7 +290,10 @@ def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str
             text = pc.fill_null(batch.column("text"), "")
             spans = [[{"kind": k, "start": a, "end": b} for a, k, b in find_spans(t, shared.value, bool(r))] for t, r in zip(text.to_pylist(), _has_run(text), strict=True)]
             found = pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
-            columns = [batch.column("row"), *([batch.column("text")] if with_text else []), found]
+            shown = batch.column("text")
+            if masked:
+                shown = pa.array([_masked(t, own) if own else t for t, own in zip(shown.to_pylist(), spans, strict=True)], pa.string())
+            columns = [batch.column("row"), *([shown] if with_text else []), found]
             yield pa.RecordBatch.from_arrays(columns, names=["row", *(["text"] if with_text else []), "spans"])
 
     schema = f"row {base.schema['row'].dataType.simpleString()}, " + "text string, " * with_text + "spans array<struct<kind:string,start:bigint,end:bigint>>"
@@ -297,26 +301,23 @@ def scan(docs: DataFrame, automata: list[Automaton] | None = None, text_col: str
     return out.select(*(F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in kept), "spans")
 
 
+def _masked(text: str, spans: list[dict]) -> str:
+    at, parts = 0, []
+    for s in spans:
+        if s["start"] >= at:
+            parts += [text[at : s["start"]], f"<{s['kind']}>"]
+        at = max(at, s["end"])
+    return "".join([*parts, text[at:]])
+
+
 def mask(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with each secret replaced by ``<kind>``; overlapping spans are one, named by the first. Other text stays."""
-    found = scan(docs, text_col=text_col, **settings)
+    """``docs`` with each secret replaced by ``<kind>``; overlapping spans are one, named by the first. Other text stays.
 
-    def run(batches):
-        for batch in text_slices(batches):
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                at, parts = 0, []
-                for s in spans:
-                    if s["start"] >= at:
-                        parts += [text[at : s["start"]], f"<{s['kind']}>"]
-                    at = max(at, s["end"])
-                out.append("".join([*parts, text[at:]]) if spans else text)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
-
-    others = [c for c in docs.columns if c != text_col]
-    base = found.select(F.struct(*others, F.lit(1).alias("__")).alias("row"), F.col(text_col).alias("text"), "spans")
-    out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, text string")
-    return out.select(*(F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
+    A column ``spans`` of ``docs`` stays as it is.
+    """
+    held = docs.withColumnRenamed("spans", "__spans")
+    found = scan(held, text_col=text_col, masked=True, **settings).drop("spans").withColumnRenamed("__spans", "spans")
+    return found.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def joined(spans, kinds: tuple[str, ...]):

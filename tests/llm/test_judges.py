@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from headroom.llm import fingerprints, packing, queries, secret_scan, toxicity
@@ -220,6 +221,9 @@ def test_scan_odd(odd, none):
     assert Counter((r.doc_id, r.text, tuple((s["start"], s["kind"], s["end"]) for s in r.spans)) for r in rows) == Counter((d, t, tuple(base(t or ""))) for d, t in ODD)
     masked = {r.doc_id: r.text for r in secret_scan.mask(odd).collect()}
     assert masked[15] == "<assign>" + '" <access> <hex>' and masked[1] == dict(ODD)[1]
+    clash = secret_scan.mask(odd.select("doc_id", "text", F.lit(7).alias("spans")))
+    assert clash.columns == ["doc_id", "text", "spans"] and {r.spans for r in clash.collect()} == {7}
+    assert str(clash._jdf.queryExecution().executedPlan().toString()).count("MapInArrow") == 1  # one worker a task
     assert secret_scan.scan(none).count() == 0
 
 

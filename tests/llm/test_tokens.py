@@ -45,11 +45,16 @@ def encoders():
         return words_bpe.FileEncoder(w.read(), True, 50), words_bpe.FileEncoder(b.read(), False, 50), words_bpe.RankEncoder(r.read(), public_tokenizers.PATTERN, 50)
 
 
+@pytest.fixture(scope="module")
+def libraries():
+    return library(WORDS), library(BYTES)
+
+
 @settings(max_examples=200, deadline=None)
 @given(PIECES)
-def test_units_encode_as_whole_texts(encoders, by_ranks, parts):
+def test_units_encode_as_whole_texts(encoders, libraries, by_ranks, parts):
     text = "".join(parts)
-    for encoder, whole in zip(encoders, (library(WORDS), library(BYTES), by_ranks), strict=True) if False else ((encoders[2], by_ranks),):
+    for encoder, whole in zip(encoders, (*libraries, by_ranks), strict=True):
         ids, at = encoder.encode(pa.array([text, "", text]))
         assert ids.tolist() == whole(text) * 2 and at.tolist() == [0, len(ids) // 2, len(ids) // 2, len(ids)]
 
@@ -170,6 +175,7 @@ def test_packing(spark, odd):
         assert own[0][0] == 0 and all(sum(x) == y[0] for x, y in zip(own, own[1:], strict=False)) and sum(own[-1]) <= 256
     bound = packing.lower_bound(np.array([r.length for r in rows]), 256)
     assert bound <= len(by) <= bound + 2
+    assert packing.certificate(pieces, 256) == (len(by), bound)
 
 
 def test_packed_sequences_have_their_ids(spark, odd):
