@@ -57,23 +57,27 @@ def in_order(members: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.sort(levels[(members >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | members >> np.uint64(8))
 
 
-def set_keys(members: np.ndarray, levels: np.ndarray, light: int, share: tuple[int, int] = SHARE) -> tuple[np.ndarray, int]:
-    """The keys under which a set meets all sets that it may link with, and the last member among its first ``tail + 1``.
+def set_keys(members: np.ndarray, levels: np.ndarray, light: int, share: tuple[int, int] = SHARE) -> tuple[np.ndarray, np.ndarray, int]:
+    """The keys under which a set meets all sets that it may link with, their room, and the last member among its first ``tail + 1``.
 
     Two sets that link share at least one of their first ``tail + 1`` members in corpus order, and two of
     their first ``tail + 2``. A set of at most ``light`` members enters all pairs of the latter; larger
-    ones, and those that may link with a larger one, enter the inverted lists of the former.
+    ones, and those that may link with a larger one, enter the inverted lists of the former. A key's room
+    is the number of members that the set can have in common with a set that shares none before the key
+    (nor between the two members of a pair).
     """
     n = len(members)
     tail = n - least_common(n, share)
     first = in_order(members, levels)[: tail + 2]
-    out = [np.zeros(0, np.uint64)]
+    out, room = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     if n >= least_common(light + 1, share):
         out.append(mix(first[: tail + 1]))
+        room.append(n - np.arange(tail + 1))
     if n <= light:
         a, b = np.triu_indices(len(first), 1)
         out.append(mix(first[a] * _TAG + first[b]))
-    return np.concatenate(out), int(first[tail])
+        room.append(n - b + 1)
+    return np.concatenate(out), np.concatenate(room), int(first[tail])
 
 
 def _profile(batches, width: int, bits: int):
@@ -91,25 +95,26 @@ def _profile(batches, width: int, bits: int):
 
 
 def _own_keys(batches, width: int, levels, light: int, share):
-    """For each slice: keys, names, sizes and last members of its sets of two or more members, each set once a task."""
+    """For each slice: keys, their room, names, sizes and last members of its sets of two or more members, each set once a task."""
     seen: set[int] = set()
     for batch in text_slices(batches, limit=SLICE):
         members, at = shingles(batch.column("text"), width)
-        keys, rows = [], []
+        keys, rooms, rows = [], [], []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             own = members[a:b]
             name = xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63
             if b - a > 1 and name not in seen:
                 seen.add(name)
-                found, last = set_keys(own, levels.value, light, share)
+                found, room, last = set_keys(own, levels.value, light, share)
                 keys.append(found)
+                rooms.append(room)
                 rows.append((name, b - a, last))
         if keys:
-            yield keys, rows
+            yield keys, rooms, rows
 
 
 def _key_buckets(batches, width: int, levels, light: int, share, buckets: int):
-    for keys, _ in _own_keys(batches, width, levels, light, share):
+    for keys, _, _ in _own_keys(batches, width, levels, light, share):
         yield bucketed(*np.unique(np.concatenate(keys), return_counts=True), buckets)
 
 
@@ -123,14 +128,17 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _entries(batches, width: int, levels, light: int, share, repeated):
-    """A row (set, n, last) for each set, and a row (key, set) for each of its keys that others may have."""
-    for keys, rows in _own_keys(batches, width, levels, light, share):
-        names = np.array([r[0] for r in rows], np.int64)
-        own, flat = np.repeat(names, [len(k) for k in keys]), np.concatenate(keys)
+    """A row (set, n, last) for each set, and a row (key, set, n, room) for each of its keys that others may have."""
+    names = ["key", "set", "n", "room", "last"]
+    for keys, rooms, rows in _own_keys(batches, width, levels, light, share):
+        own, sizes, last = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        flat, count = np.concatenate(keys), [len(k) for k in keys]
         kept = in_bitmap(repeated.value, flat)
-        key, owner = flat[kept].view(np.int64), own[kept]
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(owner), pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.int64())], names=["key", "set", "n", "last"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), pa.int64()), pa.array(names), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())], names=["key", "set", "n", "last"])
+        key = flat[kept].view(np.int64)
+        columns = key, np.repeat(own, count)[kept], np.repeat(sizes, count)[kept], np.concatenate(rooms)[kept]
+        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.nulls(len(key), pa.int64())], names=names)
+        none = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(own), pa.array(sizes), none, pa.array(last)], names=names)
 
 
 def _linked(batches, width: int, share):
@@ -157,6 +165,37 @@ def _may_link(n, m, share: tuple[int, int]):
     return F.least(n, m) * share[1] >= F.greatest(n, m) * share[0]
 
 
+def _needed(n, m, share: tuple[int, int]):
+    """The members that sets of ``n`` and ``m`` must have in common to link."""
+    return F.ceil((n + m) * share[0] / sum(share))
+
+
+def _leads(share: tuple[int, int]):
+    """An entry with room enough for a set as large as its own: the smaller set of a link has one under the first key both have."""
+    return F.col("room") >= _needed(F.col("n"), F.col("n"), share)
+
+
+def hubs(left: DataFrame, turn: int, share: tuple[int, int]) -> DataFrame:
+    """``key, hub``: one set of each key, by chance among those that lead, or that whose members before the key are fewest."""
+    chance = F.shiftrightunsigned(F.xxhash64("set", F.lit(turn)), 1)
+    by = F.when(_leads(share), -chance - 1).otherwise(chance) if turn % 2 == 0 else F.shiftleft(F.col("n") - F.col("room"), 40) + F.shiftrightunsigned(chance, 24)
+    return left.groupBy("key").agg(F.min_by("set", by).alias("hub"))
+
+
+def apart(left: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """The pairs ``a, b`` of sets from different components that can link with a key of ``left`` as the first both have.
+
+    The smaller set must lead, so keys of a passage that stands behind each set's own members emit nothing, however
+    many sets hold it. Lists meet in bands of size: a set only sees those of its own band and the next one.
+    """
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.01 * share[1] / share[0])))  # 1.01: one link spans less than a band
+    small = left.where(_leads(share)).withColumn("band", F.explode(F.array(band, band + 1)))
+    large = left.select("key", band.alias("band"), F.col("set").alias("other"), F.col("n").alias("m"), F.col("room").alias("space"), F.col("component").alias("c"))
+    both = small.join(large, ["key", "band"]).where((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("set") < F.col("other"))))
+    both = both.where((F.col("component") != F.col("c")) & (F.least("room", "space") >= _needed(F.col("n"), F.col("m"), share)))
+    return both.select(F.least("set", "other").alias("a"), F.greatest("set", "other").alias("b")).distinct()
+
+
 def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = SHARE, bits: int = SKETCH_BITS, rounds: int = ROUNDS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
@@ -167,11 +206,11 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     without an id are returned with a null component and link nobody; rows that share an id are judged by
     their own text. Members and sets are compared by 64-bit hashes.
 
-    Equal sets are one node. All sets that meet under a key are candidates, and a pair's texts are only
-    compared if the keys of both leave it possible. In each of ``rounds`` rounds
-    every key compares its sets with one of them only, its hub, so a key with a third of all sets costs a
-    row for each; what is linked joins components, and keys whose sets are all in one component are done.
-    Then all pairs from different components that still share a key are compared, so no link is lost.
+    Equal sets are one node. A pair's texts are only compared if the keys of both leave it possible. In each
+    of ``rounds`` rounds every key compares its sets with one of them only, its hub, so a key with a third of
+    all sets costs a row for each; what is linked joins components, and keys whose sets are all in one
+    component are done. Then the pairs from different components are compared for which the sizes and the
+    members before a key leave room for a link (``apart``). Each link has such a key, so none is lost.
     """
     spark = docs.sparkSession
     base = id_text(docs, id_col, text_col)
@@ -187,9 +226,9 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     texts_only = base.where("doc_id is not null").select("text")
     packed = texts_only.mapInArrow(lambda b: _key_buckets(b, width, levels, light, share, buckets), "bucket int, grams binary, again binary")
     repeated = spark.sparkContext.broadcast(united(packed.groupBy("bucket").applyInArrow(_repeated, BITS), REPEAT_BITS))
-    entries = stored(texts_only.mapInArrow(lambda b: _entries(b, width, levels, light, share, repeated), "key long, set long, n long, last long"), "entries")
-    met = entries.where("key is not null").select("key", "set")
-    common = met.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key")
+    entries = stored(texts_only.mapInArrow(lambda b: _entries(b, width, levels, light, share, repeated), "key long, set long, n long, room long, last long"), "entries")
+    met = entries.where("key is not null").drop("last")
+    common = met.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.max(_leads(share)).alias("led")).where("low <> high").select("key", "led")
     shared = stored(met.join(common, "key").distinct(), "shared")
 
     info = entries.where("key is null").groupBy("set").agg(F.max("n").alias("n"), F.max("last").alias("last"))
@@ -198,19 +237,17 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
 
     edges, component, texts = None, None, None
     forget(entries)
-    left = stored(shared.join(lists.select("set", "n"), "set").withColumn("component", F.col("set")), "left")
+    left = stored(shared.where("led").drop("led").withColumn("component", F.col("set")), "left")  # no link has its first key elsewhere
     forget(shared)
     for turn in range(rounds + 1):
         if turn < rounds:
-            hub = left.groupBy("key").agg(F.min_by("set", F.xxhash64("set", F.lit(turn))).alias("hub"))
+            hub = hubs(left, turn, share)
             hub = hub.join(left.select(F.col("set").alias("hub"), F.col("n").alias("m"), F.col("component").alias("c")).distinct(), "hub")
             pairs = left.join(hub, "key").where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
-            pairs = pairs.select(F.least("set", "hub").alias("a"), F.greatest("set", "hub").alias("b"))
+            pairs = pairs.select(F.least("set", "hub").alias("a"), F.greatest("set", "hub").alias("b")).distinct()
         else:
-            other = left.select("key", F.col("set").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-            pairs = left.join(other, "key").where(F.col("set") < F.col("b")).where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
-            pairs = pairs.select(F.col("set").alias("a"), "b")
-        pairs = stored(_possible(pairs.distinct(), lists, light, share), "pairs")
+            pairs = apart(left, share)
+        pairs = stored(_possible(pairs, lists, light, share), "pairs")
         wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
         wanted = stored((wanted if texts is None else wanted.join(texts.select("set"), "set", "left_anti")).join(owners, "set"), "wanted")
         more = stored(_texts_of(base, wanted), "texts")
@@ -245,8 +282,7 @@ def _possible(pairs: DataFrame, lists: DataFrame, light: int, share: tuple[int,
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     n = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
     behind = F.ceil(n * share[0] / share[1]) - 1  # members after the first ones
-    needed = F.ceil((F.col("n_a") + F.col("n_b")) * share[0] / sum(share))
-    enough = behind + F.size(F.array_intersect("keys_a", "keys_b")) >= needed
+    enough = behind + F.size(F.array_intersect("keys_a", "keys_b")) >= _needed(F.col("n_a"), F.col("n_b"), share)
     return both.where((F.least("n_a", "n_b") <= light) | enough).select("a", "b")
 
 

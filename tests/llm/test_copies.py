@@ -81,7 +81,46 @@ def test_jaccard_keys_meet_for_any_boundary():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 75 * (len(a) + len(b) - both) and set(a.tolist()) != set(b.tolist()):
             for light in (0, 5, 17, 100):
-                assert np.intersect1d(jaccard_join.set_keys(a, levels, light)[0], jaccard_join.set_keys(b, levels, light)[0]).size
+                (keys, room, _), (others, space, _) = (jaccard_join.set_keys(x, levels, light) for x in (a, b))
+                need = -(-75 * (len(a) + len(b)) // 175)
+                _, at, to = np.intersect1d(keys, others, return_indices=True)
+                assert (np.minimum(room[at], space[to]) >= need).any()
+
+
+def templates(documents, own, seed=9):
+    """Texts of one template and words of their own before it, after it or on both sides."""
+    rng = random.Random(seed)
+    form = " ".join(f"form{k}" for k in range(54))
+    out = []
+    for d in range(documents):
+        mine = [f"own{d}x{k}" for k in range(rng.choice(own))]
+        cut = rng.choice((0, len(mine), len(mine) // 2))
+        out.append((d, " ".join([*mine[:cut], form, *mine[cut:]])))
+    return out
+
+
+@pytest.mark.parametrize("own", [[10], [0, 3, 9, 12], [5, 40, 80]])
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_join_templates(spark, own, rounds):
+    docs = templates(120, own)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_sets(frame, rounds=rounds).collect()} == brute.jaccard(docs)
+
+
+def test_jaccard_template_emits_no_pairs(spark):
+    """A passage that all sets hold behind members of their own is no candidate, whatever the number of sets."""
+    levels = np.zeros(1 << 10, np.uint8)
+    shared = np.arange(1, 51, dtype=np.uint64) << np.uint64(52)
+    rows = []
+    for d in range(300):
+        mine = np.arange(1, 11, dtype=np.uint64) + np.uint64(1000 * d + 100)
+        keys, room, _ = jaccard_join.set_keys(np.concatenate([shared, mine << np.uint64(8)]), levels, 0)
+        rows += [(int(k), d, 60, int(r), d) for k, r in zip(keys.view(np.int64), room, strict=True)]
+    left = spark.createDataFrame(rows, "key long, set long, n long, room long, component long")
+    assert left.groupBy("key").count().where("count = 300").count() > 0
+    assert jaccard_join.apart(left).count() == 0
+    near = left.where("set < 3").withColumn("room", left.n)
+    assert sorted(map(tuple, jaccard_join.apart(near).collect())) == [(0, 1), (0, 2), (1, 2)]
 
 
 def test_jaccard_boundary_follows_the_cost():
