@@ -185,6 +185,16 @@ def shingles(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
 SKETCH_BLOCKS = 64
 
 
+def _squeezed(counts: np.ndarray) -> bytes:
+    """Counters in as few bytes each as the largest needs, compressed, behind that number of bytes."""
+    x = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+    return bytes([x.itemsize]) + zlib.compress(x.tobytes(), 1)
+
+
+def _counters(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw[1:]), f"u{raw[0]}").astype(np.int64)
+
+
 class Sketch:
     """Counters over hash buckets, kept by a task and sent in compressed blocks."""
 
@@ -197,7 +207,7 @@ class Sketch:
     def blocks(self) -> tuple[list[int], list[bytes]]:
         cut = self.counts.reshape(SKETCH_BLOCKS, -1)
         some = [k for k in range(SKETCH_BLOCKS) if cut[k].any()]
-        return some, [zlib.compress(cut[k].tobytes(), 1) for k in some]
+        return some, [_squeezed(cut[k]) for k in some]
 
 
 def total_sketch(parts: DataFrame, bits: int) -> np.ndarray:
@@ -209,13 +219,13 @@ def total_sketch(parts: DataFrame, bits: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                x = np.frombuffer(zlib.decompress(raw), np.int64)
+                x = _counters(raw)
                 sums[block] = sums[block] + x if block in sums else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=["block", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([_squeezed(x) for x in sums.values()], pa.binary())], names=["block", "counts"])
 
     out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.int64)
     for r in spread(parts.select("block", "counts"), "block").mapInArrow(add, "block int, counts binary").collect():
-        out[r.block] += np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
+        out[r.block] += _counters(bytes(r.counts))
     return out.ravel()
 
 

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import forget, stored
-from .common import BITS, Sketch, bit_blocks, bucketed, components, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, united, unpacked
+from .common import BITS, Sketch, bit_blocks, components, id_hashes, id_text, in_bitmap, mix, shingles, sifted, text_slices, total_sketch, united
 
 WIDTH = 5
 SHARE = (75, 100)
 SKETCH_BITS = 22
-REPEAT_BITS = 25
+SIEVE_BITS = 28  # of a bitmap at most: 32 MB
 BUCKET_BYTES = 64 << 20  # of text behind one bucket of keys
+BUCKET_BITS = 6  # at least
 SIZES = 128  # the largest boundary that is considered
 ROUNDS = 2
 SLICE = 1 << 20
@@ -94,10 +95,14 @@ def _profile(batches, width: int, bits: int):
     yield pa.RecordBatch.from_arrays([*none, pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())], names=["doc_id", "content", "n", "set", "block", "counts"])
 
 
-def _own_keys(batches, width: int, levels, light: int, share):
-    """For each slice: keys, their room, names, sizes and last members of its sets of two or more members, each set once a task."""
+def _own_keys(batches, width: int, levels, light: int, share, cut: int, first):
+    """For each slice: keys without their ``cut`` lowest bits, their room, names, sizes and last members of its sets of two or more members.
+
+    Only rows whose id may be the first of its set's are read, and each set once a task.
+    """
     seen: set[int] = set()
     for batch in text_slices(batches, limit=SLICE):
+        batch = batch.filter(pa.array(in_bitmap(first.value, id_hashes(batch.column("doc_id")))))
         members, at = shingles(batch.column("text"), width)
         keys, rooms, rows = [], [], []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -106,35 +111,62 @@ def _own_keys(batches, width: int, levels, light: int, share):
             if b - a > 1 and name not in seen:
                 seen.add(name)
                 found, room, last = set_keys(own, levels.value, light, share)
-                keys.append(found)
+                keys.append(found >> np.uint64(cut))
                 rooms.append(room)
                 rows.append((name, b - a, last))
         if keys:
             yield keys, rooms, rows
 
 
-def _key_buckets(batches, width: int, levels, light: int, share, buckets: int):
-    for keys, _, _ in _own_keys(batches, width, levels, light, share):
-        yield bucketed(*np.unique(np.concatenate(keys), return_counts=True), buckets)
+def _key_buckets(batches, width: int, levels, light: int, share, cut: int, first):
+    """The keys of each slice, dealt by their high bits, of which the bucket's number stands for all but 32.
+
+    Those under which a set leads (``_leads``) and the others are apart; a key is sent three times at most, so that two are told from more.
+    """
+    for keys, rooms, rows in _own_keys(batches, width, levels, light, share, cut, first):
+        need = [-(-2 * n * share[0] // sum(share)) for _, n, _ in rows]
+        leads = np.concatenate([room >= least for room, least in zip(rooms, need, strict=True)])
+        flat, parts = np.concatenate(keys), {}
+        for k, chosen in enumerate((flat[leads], flat[~leads])):
+            values, count = np.unique(chosen, return_counts=True)
+            values = np.repeat(values, np.minimum(count, 3))
+            buckets, at = np.unique(values >> np.uint64(32), return_index=True)
+            for bucket, x in zip(buckets.tolist(), np.split(values.astype("<u4"), at[1:]), strict=True):
+                parts.setdefault(bucket, [b"", b""])[k] = x.tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), *(pa.array([p[k] for p in parts.values()], pa.binary()) for k in range(2))], names=["bucket", "leading", "other"])
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """The bits of the keys of a bucket that several slices have, or one slice more than once.
+    """The keys of a bucket that are there more than once, whether a set leads under them, and whether they are there more than twice."""
+    leading, other = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<u4") for c in ("leading", "other"))
+    keys, count = np.unique(np.concatenate([leading, other]), return_counts=True)
+    keys, many = keys[count > 1], count[count > 1] > 2
+    led = np.isin(keys, leading)
+    high = table.column("bucket")[0].as_py() << 32 if table.num_rows else 0
+    return pa.table({"key": pa.array(keys.astype(np.int64) + high), "led": pa.array(led), "many": pa.array(many)})
 
-    Made here and not by a ``mapInArrow`` behind it, which would keep twice as many workers.
-    """
-    keys, count = np.unique(unpacked(table.column("grams")), return_counts=True)
-    return bit_blocks(np.union1d(keys[count > 1], unpacked(table.column("again"))), REPEAT_BITS)
 
+def _sieve(keys: DataFrame, bits: int) -> np.ndarray:
+    """The packed bits of all rows of ``keys``; a task makes them block by block."""
+    def note(batches):
+        yield from bit_blocks(np.concatenate([np.zeros(0, np.uint64), *(id_hashes(b.column("key")) for b in batches)]), bits).to_batches()
+
+    return united(keys.select("key").mapInArrow(note, BITS), bits)
 
-def _entries(batches, width: int, levels, light: int, share, repeated):
+
+def sieve_bits(rows: int) -> int:
+    """Bits enough for one in 32 or fewer to be set, from 2 ** 20 to 2 ** ``SIEVE_BITS``."""
+    return min(SIEVE_BITS, max(20, (32 * rows).bit_length()))
+
+
+def _entries(batches, width: int, levels, light: int, share, cut: int, first, repeated):
     """A row (set, n, last) for each set, and a row (key, set, n, room) for each of its keys that others may have."""
     names = ["key", "set", "n", "room", "last"]
-    for keys, rooms, rows in _own_keys(batches, width, levels, light, share):
+    for keys, rooms, rows in _own_keys(batches, width, levels, light, share, cut, first):
         own, sizes, last = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-        flat, count = np.concatenate(keys), [len(k) for k in keys]
-        kept = in_bitmap(repeated.value, flat)
-        key = flat[kept].view(np.int64)
+        flat, count = np.concatenate(keys).view(np.int64), [len(k) for k in keys]
+        kept = in_bitmap(repeated.value, id_hashes(pa.array(flat)))
+        key = flat[kept]
         columns = key, np.repeat(own, count)[kept], np.repeat(sizes, count)[kept], np.concatenate(rooms)[kept]
         yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.nulls(len(key), pa.int64())], names=names)
         none = pa.nulls(len(rows), pa.int64())
@@ -176,10 +208,10 @@ def _leads(share: tuple[int, int]):
 
 
 def hubs(left: DataFrame, turn: int, share: tuple[int, int]) -> DataFrame:
-    """``key, hub``: one set of each key, by chance among those that lead, or that whose members before the key are fewest."""
+    """``key, hub, m, c``: one set of each key, by chance among those that lead, or that whose members before the key are fewest, its size and component."""
     chance = F.shiftrightunsigned(F.xxhash64("set", F.lit(turn)), 1)
     by = F.when(_leads(share), -chance - 1).otherwise(chance) if turn % 2 == 0 else F.shiftleft(F.col("n") - F.col("room"), 40) + F.shiftrightunsigned(chance, 24)
-    return left.groupBy("key").agg(F.min_by("set", by).alias("hub"))
+    return left.groupBy("key").agg(F.min_by("set", by).alias("hub"), F.min_by("n", by).alias("m"), F.min_by("component", by).alias("c"))
 
 
 def apart(left: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -222,45 +254,47 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, share: tuple[int, int] = S
     levels = spark.sparkContext.broadcast(levels_of(counts))  # 2 ** bits bytes
 
     volume = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(16, -(-volume // BUCKET_BYTES))
-    texts_only = base.where("doc_id is not null").select("text")
-    packed = texts_only.mapInArrow(lambda b: _key_buckets(b, width, levels, light, share, buckets), "bucket int, grams binary, again binary")
-    repeated = spark.sparkContext.broadcast(united(packed.groupBy("bucket").applyInArrow(_repeated, BITS), REPEAT_BITS))
-    entries = stored(texts_only.mapInArrow(lambda b: _entries(b, width, levels, light, share, repeated), "key long, set long, n long, room long, last long"), "entries")
+    owners = stored(sets.where("doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "content")).alias("one")).select("set", "one.*"), "owners")
+    first = spark.sparkContext.broadcast(_sieve(owners.where("set is not null").select(F.col("doc_id").alias("key")), sieve_bits(owners.count())))
+    cut = 32 - max(BUCKET_BITS, (volume // BUCKET_BYTES).bit_length())
+    with_id = base.where("doc_id is not null")
+    packed = with_id.mapInArrow(lambda b: _key_buckets(b, width, levels, light, share, cut, first), "bucket int, leading binary, other binary")
+    common = stored(packed.groupBy("bucket").applyInArrow(_repeated, "key long, led boolean, many boolean"), "common")
+    repeated = spark.sparkContext.broadcast(_sieve(common, sieve_bits(common.count())))
+    entries = stored(with_id.mapInArrow(lambda b: _entries(b, width, levels, light, share, cut, first, repeated), "key long, set long, n long, room long, last long"), "entries")
     met = entries.where("key is not null").drop("last")
-    common = met.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.max(_leads(share)).alias("led")).where("low <> high").select("key", "led")
     shared = stored(met.join(common, "key").distinct(), "shared")
+    forget(common)
 
     info = entries.where("key is null").groupBy("set").agg(F.max("n").alias("n"), F.max("last").alias("last"))
     lists = stored(shared.groupBy("set").agg(F.collect_list("key").alias("keys")).join(info, "set"), "lists")
-    owners = stored(sets.where("doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "content")).alias("one")).select("set", "one.*"), "owners")
 
-    edges, component, texts = None, None, None
+    edges, tried = None, None
     forget(entries)
     left = stored(shared.where("led").drop("led").withColumn("component", F.col("set")), "left")  # no link has its first key elsewhere
     forget(shared)
     for turn in range(rounds + 1):
         if turn < rounds:
-            hub = hubs(left, turn, share)
-            hub = hub.join(left.select(F.col("set").alias("hub"), F.col("n").alias("m"), F.col("component").alias("c")).distinct(), "hub")
-            pairs = left.join(hub, "key").where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
+            pairs = left.join(hubs(left, turn, share), "key").where(F.col("component") != F.col("c")).where(_may_link(F.col("n"), F.col("m"), share))
             pairs = pairs.select(F.least("set", "hub").alias("a"), F.greatest("set", "hub").alias("b")).distinct()
         else:
             pairs = apart(left, share)
-        pairs = stored(_possible(pairs, lists, light, share), "pairs")
+        pairs = _possible(pairs, lists, light, share)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-        wanted = stored((wanted if texts is None else wanted.join(texts.select("set"), "set", "left_anti")).join(owners, "set"), "wanted")
-        more = stored(_texts_of(base, wanted), "texts")
-        texts = more if texts is None else texts.unionByName(more)
+        wanted = stored(wanted.join(owners, "set"), "wanted")
+        texts = stored(_texts_of(base, wanted), "texts")  # of this turn only: a join with all that were compared would send them again
         with_texts = (pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")), "a")
                       .join(texts.select(F.col("set").alias("b"), F.col("text").alias("b_text")), "b"))
         new = stored(with_texts.mapInArrow(lambda b: _linked(b, width, share), "a long, b long"), "links")
         edges = new if edges is None else edges.unionByName(new)
         component = stored(components(edges, name="set-component"), "components")
-        forget(pairs, wanted)
+        forget(wanted, texts)
         if turn == rounds:
             break
-        placed = left.drop("component").join(component.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+        many = left.where("many")  # the two sets of another key have met, one of them as its hub
+        placed = many.drop("component").join(component.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         old, left = left, stored(placed.join(mixed, "key"), "left")
         forget(old)

@@ -3,9 +3,11 @@
 import hashlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,6 +125,43 @@ def test_jaccard_template_emits_no_pairs(spark):
     assert sorted(map(tuple, jaccard_join.apart(near).collect())) == [(0, 1), (0, 2), (1, 2)]
 
 
+def test_jaccard_join_sends_no_key_twice(spark, monkeypatch):
+    """Copies in several partitions send their set's keys once; two sets alone under a key are done when they have met."""
+    form = " ".join(f"form{k}" for k in range(80))
+    one, other = (f"{form} " + " ".join(f"{name}{k}" for k in range(25)) for name in ("one", "other"))
+    docs = [*((d, one) for d in range(20)), (20, other)]
+    kept, real = {}, jaccard_join.stored
+
+    def noted(df, name="table"):
+        out = real(df, name)
+        kept.setdefault(name, []).append(out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", noted)
+    monkeypatch.setattr(jaccard_join, "boundary", lambda *_: 0)  # lists only
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_sets(frame).collect()} == brute.jaccard(docs)
+    sent = Counter((r.key, r.set) for r in kept["entries"][0] if r.key is not None)
+    assert sent and max(sent.values()) == 1
+    assert len({r.set for r in kept["left"][0]}) == 2 and kept["left"][1] == []
+
+
+def test_jaccard_keys_of_three_sets_in_a_slice_are_told_from_two():
+    levels = np.zeros(1 << 10, np.uint8)
+    texts = [" ".join([*(f"form{k}" for k in range(12)), f"own{d}"]) for d in range(3)]
+    first = np.full(1 << 17, 255, np.uint8)
+
+    def found(rows):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(rows), pa.int64()), pa.array(texts[:rows])], names=["doc_id", "text"])
+        packed = pa.Table.from_batches(jaccard_join._key_buckets([batch], 5, SimpleNamespace(value=levels), 200, jaccard_join.SHARE, 26, SimpleNamespace(value=first)))
+        buckets = [jaccard_join._repeated(packed.filter(pc.equal(packed.column("bucket"), b))) for b in packed.column("bucket").unique()]
+        return pa.concat_tables(buckets).to_pydict()
+
+    two, three = found(2), found(3)
+    assert two["key"] and not any(two["many"])
+    assert set(two["key"]) <= set(three["key"]) and any(three["many"])
+
+
 def test_jaccard_boundary_follows_the_cost():
     flat, steep = np.full(1024, 5), np.zeros(1024, int)
     steep[0] = 5120
