@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import calendar as C
+from ..functions.sizing import stored
 from .segments import attach_entity_stats, with_position, with_row_windows
 
 MODELS = ("baseline", "additive", "naive", "ses", "theta")
@@ -188,13 +189,16 @@ def _predictions(ts: str, z: float) -> dict[str, tuple[Column, Column, Column]]:
 
 
 def targets(
-    df: DataFrame, coef: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS,
+    df: DataFrame, coef: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS, salts: int = P.SALTS,
 ) -> DataFrame:
-    """The rows to predict with their server's coefficients: test days, then the future days."""
+    """The rows to predict with their server's coefficients: test days, then the future days.
+
+    A daily panel, whose servers the calendar bounds, needs one of the ``salts`` only.
+    """
     test = df.filter(F.to_date(F.col(ts)) >= _cut(cut)).select(
         F.col(entity), F.to_date(F.col(ts)).alias(ts), F.col(target).cast("double").alias("actual"), F.lit(False).alias("is_future"),
     )
-    test = attach_entity_stats(test, coef, [entity], ts).filter(F.col("train_rows").isNotNull())
+    test = attach_entity_stats(test, coef, [entity], ts, salts).filter(F.col("train_rows").isNotNull())
     days = F.sequence(F.date_add("last_day", 1), F.date_add("last_day", horizon), F.expr("INTERVAL 1 DAY"))
     ahead = coef.withColumn(ts, F.explode(days)).withColumns({
         "actual": F.lit(None).cast("double"), "is_future": F.lit(True),
@@ -205,12 +209,13 @@ def targets(
 def forecast_table(
     df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, models: Sequence[str] = MODELS,
     min_rows: int = P.MIN_HISTORY, alpha: float = P.SES_ALPHA, entity: str = P.ENTITY, ts: str = P.TS,
-    coef: DataFrame | None = None,
+    coef: DataFrame | None = None, salts: int = P.SALTS,
 ) -> DataFrame:
     """Long forecast table of all models: test days with actuals and the future horizon."""
     if coef is None:
-        coef = coefficients(cells(df, target, cut, alpha, entity, ts), cut, min_rows, alpha, entity)
-    rows = targets(df, coef, target, cut, horizon, entity, ts)
+        # test days and future days both read it
+        coef = stored(coefficients(cells(df, target, cut, alpha, entity, ts), cut, min_rows, alpha, entity), "coefficients")
+    rows = targets(df, coef, target, cut, horizon, entity, ts, salts)
     if "additive" in models:
         rows = rows.withColumn("_additive", _additive(ts, cut))
     made = _predictions(ts, P.INTERVAL_Z80)

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from .quantiles import exact_quantiles, melt, quantile_columns
-from .segments import segment_of
 
 _AGGREGATES = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum, "count": F.count}
 
@@ -24,11 +23,16 @@ def entity_days(df: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> DataFr
 def fill_calendar(daily: DataFrame, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
     """Add the missing days of a daily table (unique entity and day) as NULL rows.
 
-    The axis grows out of one small row per entity, so the rows are spread by entity and time
-    segment afterwards: the series operators that follow need them there anyway.
+    Only the rows there are get shuffled: each then fills the days up to the next one of its entity. An entity
+    has at most as many rows as the calendar has days, so they lie together, which the series operators that
+    follow need anyway.
     """
-    full = entity_days(daily, entity, ts).join(daily, [entity, ts], "left").select(daily.columns)
-    return full.repartition(F.col(entity), segment_of(ts))
+    day = F.to_date(F.col(ts))
+    after = F.lead(day).over(Window.partitionBy(entity).orderBy(ts))
+    own = daily.filter(day.isNotNull()).withColumn("_upto", F.greatest(day, F.date_sub(after, 1)))
+    days = own.withColumn("_day", F.explode(F.sequence(day, F.coalesce("_upto", day), F.expr("INTERVAL 1 DAY"))))
+    here = F.col(entity).isNotNull() & (F.col("_day") == F.col(ts))
+    return days.select(*[F.col(c) if c == entity else F.col("_day").alias(c) if c == ts else F.when(here, F.col(c)).alias(c) for c in daily.columns])
 
 
 def resample_daily(

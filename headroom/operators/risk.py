@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import calendar as C
 from ..functions.numeric import level, truth
+from ..functions.sizing import stored
 from .segments import attach_entity_stats
 
 
@@ -64,11 +65,14 @@ def usage_profile(df: DataFrame, entity: str = P.ENTITY, value: str = "predicted
 
 
 def cluster_servers(profile: DataFrame, columns: Sequence[str], k: int = P.CLUSTERS, seed: int = 42, entity: str = P.ENTITY) -> DataFrame:
-    """k-means on the given columns; clusters are numbered by ascending centre of the first column."""
+    """k-means on the given columns; clusters are numbered by ascending centre of the first column.
+
+    Every iteration and the labelling read the profile, one row per server, so it is stored first.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    points = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(profile)
+    points = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(stored(profile, "profile"))
     model = KMeans(featuresCol="_x", predictionCol="_c", k=k, seed=seed).fit(points)
     centres = [float(c[0]) for c in model.clusterCenters()]
     rank = {c: r for r, c in enumerate(sorted(range(len(centres)), key=lambda i: centres[i]))}

@@ -351,3 +351,47 @@ def test_rolling_origin(spark):
                 same = [y for _, t, y in train if t.weekday() == d.weekday() and y is not None]
                 want[fold, d] = (v, pytest.approx(np.mean(same)))
     assert {(r.fold, r.timestamp): (r.actual, r.predicted) for r in got} == want and len(got) == len(want) and {f for f, _ in want} == {1, 2, 3}
+
+
+def _exchanges(df):
+    """The partitionings that the plan of a table shuffles rows by."""
+    text = df._jdf.queryExecution().executedPlan().toString().replace("== Initial Plan ==", "\n== Initial Plan ==").split("== Initial Plan ==")[-1]
+    return [line for line in text.splitlines() if "Exchange " in line and "Reused" not in line and "Broadcast" not in line]
+
+
+def test_calendar_is_filled_behind_the_shuffle(spark):
+    """Gaps of any length, repeated days and rows without a server or day; only rows that are there get shuffled."""
+    days = [("a", "2020-01-01", 1.0), ("a", "2020-01-04", None), ("a", "2024-02-28", 4.0), ("b", "2021-05-05", 5.0), ("c", None, 6.0), ("d", "2020-03-01", 7.0), ("d", "2020-03-01", 8.0), (None, "2020-01-01", 9.0), (None, "2020-01-03", 9.0)]
+    df = spark.createDataFrame([(s, d and day(d), v) for s, d, v in days], SCHEMA)
+    full = regularise.fill_calendar(df)
+    got = full.toPandas()
+    assert len(got) == (day("2024-02-28") - day("2020-01-01")).days + 1 + 1 + 2 + 3 and not got.timestamp.isna().any()
+    assert sorted(got.dropna().itertuples(index=False, name=None)) == [("a", day("2020-01-01"), 1.0), ("a", day("2024-02-28"), 4.0), ("b", day("2021-05-05"), 5.0), ("d", day("2020-03-01"), 7.0), ("d", day("2020-03-01"), 8.0)]
+    filled = clean.interpolate_linear(full.filter("server_id = 'a'"), ["cpu"], regular=segments.BUILT)
+    assert len(_exchanges(filled)) == 1
+    line = filled.orderBy("timestamp").toPandas().cpu
+    assert line.to_numpy() == pytest.approx(np.linspace(1.0, 4.0, len(line)))
+
+
+def test_forecast_shuffles_no_day_of_a_bucketed_panel(spark):
+    """Cells, coefficients and the test days' join read the panel as it lies; rows equal those of a panel in rows."""
+    from headroom.functions.sizing import stored_by
+
+    df = spark.createDataFrame(series(500, "2022-01-01", holes=0), SCHEMA)
+    panel = stored_by(df, "server_id", "panel")
+    assert sorted(panel.collect()) == sorted(df.collect())
+    assert _exchanges(forecast.coefficients(forecast.cells(panel, "cpu", "2023-03-01"), "2023-03-01")) == []
+    one = forecast.forecast_table(panel, "cpu", "2023-03-01", 10, salts=1)
+    two = forecast.forecast_table(df, "cpu", "2023-03-01", 10)
+    key = lambda r: (r.server_id, r.model, r.timestamp)
+    one, two = sorted(one.collect(), key=key), sorted(two.collect(), key=key)
+    assert list(map(key, one)) == list(map(key, two)) and [r.predicted for r in one] == pytest.approx([r.predicted for r in two])
+
+
+def test_clusters_read_the_forecasts_once(spark):
+    """k-means goes over the profile many times: what it is made from is read once."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize([("a", .1, .1), ("b", .1, .1), ("c", .9, .9), ("d", .9, .9)], 1)
+    df = spark.createDataFrame(rows.map(lambda r: (seen.add(1), r)[1]), "server_id string, predicted_mean double, predicted_std double")
+    assert {r.servers for r in risk.cluster_summary(risk.cluster_servers(df, ["predicted_mean", "predicted_std"], 2)).collect()} == {2}
+    assert seen.value == 4
