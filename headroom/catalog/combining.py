@@ -27,8 +27,11 @@ def join_forecast_actual_inner(spark, folder):
 @register("join_actual_left", sql("forecast marked", """SELECT f.server_id, f.model, f.timestamp, f.predicted, m.y AS actual FROM forecast f
     LEFT JOIN marked m ON f.server_id = m.server_id AND f.timestamp = m.timestamp"""), ["predicted", "actual"])
 def join_actual_left(spark, folder):
-    made = forecasts(spark, folder).select("server_id", "model", "timestamp", "predicted")
-    return joins.join_forecast_actual(made, cpu_panel(spark, folder), "cpu_p95", "left").select("server_id", "model", "timestamp", "predicted", "actual")
+    panel = cpu_panel(spark, folder)
+    made = forecasts(spark, folder, panel=panel).select("server_id", "model", "timestamp", "predicted")
+    # forecasts begin at the cut, so no day before it has a partner
+    actual = panel.filter(F.col("timestamp") >= F.lit(CUT).cast("date"))
+    return joins.join_forecast_actual(made, actual, "cpu_p95", "left").select("server_id", "model", "timestamp", "predicted", "actual")
 
 
 @register("join_group_stat_back", sql("metrics", "SELECT server_id, timestamp, cpu_p95, max(mem_p95) OVER (PARTITION BY server_id) AS peak_mem FROM metrics"), ["cpu_p95", "peak_mem"])
