@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import forecast, joins, risk
 from ..sources import panels
 from .base import CUT, METRICS, register, sql
-from .shared import cpu_panel, forecasts
+from .shared import cpu_panel, forecasts, panel_coefficients
 
 
 @register("join_metadata_left", sql("metrics dim", """SELECT m.*, region, criticality FROM metrics m LEFT JOIN (SELECT * FROM dim WHERE criticality <> 'Low') d USING (server_id)"""), METRICS)
@@ -74,16 +74,20 @@ def assign_by_share(spark, folder):
 
 @register("union_all", sql("f_baseline f_naive", "SELECT server_id, model, timestamp, predicted FROM f_baseline UNION ALL SELECT server_id, model, timestamp, predicted FROM f_naive"), ["predicted"])
 def union_all(spark, folder):
-    one = forecasts(spark, folder, ("baseline",)).select("server_id", "model", "timestamp", "predicted")
-    two = forecasts(spark, folder, ("naive",)).select("server_id", "model", "timestamp", "predicted")
+    panel = cpu_panel(spark, folder)
+    coef = panel_coefficients(panel)
+    one = forecasts(spark, folder, ("baseline",), panel, coef).select("server_id", "model", "timestamp", "predicted")
+    two = forecasts(spark, folder, ("naive",), panel, coef).select("server_id", "model", "timestamp", "predicted")
     return one.unionAll(two)
 
 
 @register("union_by_name_fill", sql("f_baseline f_naive", """SELECT server_id, timestamp, model, predicted, actual, NULL::BOOLEAN AS is_future FROM f_naive
     UNION ALL SELECT server_id, timestamp, model, predicted, NULL, is_future FROM f_baseline"""), ["predicted", "actual"])
 def union_by_name_fill(spark, folder):
-    one = forecasts(spark, folder, ("baseline",)).select("server_id", "model", "timestamp", "predicted", "is_future")
-    two = forecasts(spark, folder, ("naive",)).select("server_id", "timestamp", "model", "predicted", "actual")
+    panel = cpu_panel(spark, folder)
+    coef = panel_coefficients(panel)
+    one = forecasts(spark, folder, ("baseline",), panel, coef).select("server_id", "model", "timestamp", "predicted", "is_future")
+    two = forecasts(spark, folder, ("naive",), panel, coef).select("server_id", "timestamp", "model", "predicted", "actual")
     return one.unionByName(two, allowMissingColumns=True)
 
 
