@@ -111,9 +111,10 @@ def describe_by_model(spark, folder):
 def _trees(spark, folder, kind: str):
     """Rows to score and a model fitted on the panel as it is now."""
     panel = cpu_panel(spark, folder)
-    # fitting reads its table many times, so it is stored first
-    train = stored(forecast.tree_training(panel, "cpu_p95", CUT), "tree-training")
-    return forecast.tree_rows(panel, "cpu_p95", CUT), forecast.tree_model(kind, *TREE_SIZE[kind]).fit(train)
+    stats = forecast.tree_stats(panel, "cpu_p95", CUT)
+    # fitting reads its table more than once, so it is stored first
+    train = stored(forecast.tree_training(panel, "cpu_p95", CUT, stats=stats), "tree-training")
+    return forecast.tree_rows(panel, "cpu_p95", CUT, stats=stats, salts=1), forecast.fit_trees(train, kind, *TREE_SIZE[kind])
 
 
 # trees and depth; the same as the library's defaults

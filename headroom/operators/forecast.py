@@ -399,20 +399,31 @@ TREE_FEATURES = (
 )
 
 
-def _tree_stats(cell: DataFrame, cut: str, entity: str) -> DataFrame:
+#: The features that differ from server to server, and where a fitted pipeline keeps their bins.
+TREE_OWN = ("server_mean", "weekday_mean_y")
+TREE_INPUTS = tuple(f"{c}_bin" if c in TREE_OWN else c for c in TREE_FEATURES)
+#: Bins of a feature; the library cuts continuous features into as many.
+TREE_BINS = 32
+
+
+def tree_stats(df: DataFrame, target: str, cut: str, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+    """What the tree models know of a server: one stored row, for training and for scoring."""
+    cell = cells(df, target, cut, entity=entity, ts=ts)
     coef = coefficients(cell, cut, entity=entity).select(entity, "train_rows", "last_day", "weekday_mean")
     own = cell.filter("train").groupBy(entity).agg((F.sum("sy") / F.sum("n")).alias("server_mean"))
-    return coef.join(own, entity)
+    return stored(coef.join(own, entity), "tree-stats")
 
 
-def tree_training(df: DataFrame, target: str, cut: str, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+def tree_training(
+    df: DataFrame, target: str, cut: str, entity: str = P.ENTITY, ts: str = P.TS, stats: DataFrame | None = None,
+) -> DataFrame:
     """Training table of the tree models: one weighted row per cell instead of one per day.
 
     All days of a cell have the same features, so their mean with their count as weight gives the
     same splits and leaves while the table stays small however long the history is.
     """
-    cell = cells(df, target, cut, entity=entity, ts=ts)
-    rows = cell.filter("train AND n > 0").join(_tree_stats(cell, cut, entity), entity)
+    stats = tree_stats(df, target, cut, entity, ts) if stats is None else stats
+    rows = cells(df, target, cut, entity=entity, ts=ts).filter("train AND n > 0").join(stats, entity)
     angle = F.lit(2 * math.pi) * F.col("month") / F.lit(12)
     return rows.select(
         entity, (F.col("sy") / F.col("n")).alias("label"), F.col("n").cast("double").alias("weight"),
@@ -422,11 +433,14 @@ def tree_training(df: DataFrame, target: str, cut: str, entity: str = P.ENTITY,
     )
 
 
-def tree_rows(df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
+def tree_rows(
+    df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, entity: str = P.ENTITY, ts: str = P.TS,
+    stats: DataFrame | None = None, salts: int = P.SALTS,
+) -> DataFrame:
     """Calendar features plus the server's training mean and weekday mean for test and future rows."""
-    stats = _tree_stats(cells(df, target, cut, entity=entity, ts=ts), cut, entity)
+    stats = tree_stats(df, target, cut, entity, ts) if stats is None else stats
     seen = df.filter(F.to_date(F.col(ts)) >= _cut(cut)).select(entity, F.to_date(F.col(ts)).alias(ts), F.col(target).cast("double").alias("label"))
-    seen = attach_entity_stats(seen, stats, [entity], ts).filter(F.col("train_rows").isNotNull()).withColumn("part", F.lit("test"))
+    seen = attach_entity_stats(seen, stats, [entity], ts, salts).filter(F.col("train_rows").isNotNull()).withColumn("part", F.lit("test"))
     days = F.sequence(F.date_add("last_day", 1), F.date_add("last_day", horizon), F.expr("INTERVAL 1 DAY"))
     ahead = stats.withColumn(ts, F.explode(days)).withColumns({"label": F.lit(None).cast("double"), "part": F.lit("future")})
     rows = seen.unionByName(ahead.select(seen.columns))
@@ -434,23 +448,79 @@ def tree_rows(df: DataFrame, target: str, cut: str, horizon: int = P.HORIZON, en
     return rows.withColumns(made).select(entity, ts, "label", "part", *TREE_FEATURES)
 
 
-def tree_model(kind: str = "random_forest", trees: int = 150, depth: int | None = None, rate: float = 0.05, seed: int = 42):
-    """An unfitted pyspark.ml pipeline: ``random_forest`` (depth 12) or ``gradient_boost`` (depth 6)."""
+def tree_bins(train: DataFrame):
+    """The first stage of the pipeline: bins between quantiles of the servers' own features, over all training rows."""
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / TREE_BINS for i in range(1, TREE_BINS)]
+    cuts = train.agg(*[F.array_sort(F.array_distinct(F.percentile_approx(c, probs, 10_000))).alias(c) for c in TREE_OWN]).first()
+    edges = [[-math.inf, *(cuts[c] or [0.0]), math.inf] for c in TREE_OWN]
+    return Bucketizer(splitsArray=edges, inputCols=list(TREE_OWN), outputCols=[f"{c}_bin" for c in TREE_OWN])
+
+
+def merged_training(train: DataFrame, bins) -> DataFrame:
+    """Training rows of equal features after binning as one weighted row.
+
+    Trees see bins only, so the weighted mean of such rows takes part in splits and leaves as the rows did; the
+    forest draws its samples, and counts the rows of a leaf, among them. The table is bounded by bins and
+    calendar, however many servers there are.
+    """
+    # the least value of a bin stands for it: it is in the bin again when the pipeline looks
+    return bins.transform(train).groupBy(*TREE_INPUTS).agg(
+        (F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).alias("label"), F.sum("weight").alias("weight"),
+        *[F.min(c).alias(c) for c in TREE_OWN],
+    ).drop(*[f"{c}_bin" for c in TREE_OWN])
+
+
+def fit_trees(train: DataFrame, kind: str = "random_forest", trees: int = 150, depth: int | None = None):
+    """The fitted pipeline of ``tree_model``; ``train`` must be a stored table."""
+    bins = tree_bins(train)
+    merged = stored(merged_training(train, bins), "tree-merged")
+    return tree_model(kind, trees, depth, bins=bins).fit(merged)
+
+
+def tree_model(kind: str = "random_forest", trees: int = 150, depth: int | None = None, rate: float = 0.05, seed: int = 42, bins=None):
+    """An unfitted pyspark.ml pipeline: ``random_forest`` (depth 12) or ``gradient_boost`` (depth 6).
+
+    With ``bins`` (``tree_bins``) the servers' own features are binned by it, else by the trees themselves.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    shape = dict(featuresCol="features", labelCol="label", weightCol="weight", predictionCol="predicted", seed=seed, maxMemoryInMB=1024)
+    # rows keep their nodes' numbers, so that no level sends the trees grown so far from the driver
+    shape = dict(featuresCol="features", labelCol="label", weightCol="weight", predictionCol="predicted", seed=seed, maxMemoryInMB=256, cacheNodeIds=True)
     if kind == "random_forest":
         model = RandomForestRegressor(numTrees=trees, maxDepth=depth or 12, minInstancesPerNode=2, featureSubsetStrategy="all", **shape)
     else:
         model = GBTRegressor(maxIter=trees, maxDepth=depth or 6, stepSize=rate, **shape)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(TREE_FEATURES), outputCol="features"), model])
+    inputs = TREE_FEATURES if bins is None else TREE_INPUTS
+    return Pipeline(stages=[*([] if bins is None else [bins]), VectorAssembler(inputCols=list(inputs), outputCol="features"), model])
+
+
+#: So many rows of different features are scored and sent to every executor at most.
+TREE_KINDS = 250_000
 
 
 def score_model(model, rows: DataFrame, name: str, entity: str = P.ENTITY, ts: str = P.TS) -> DataFrame:
-    """Forecast rows of a fitted tree model for the test and future parts."""
-    out = model.transform(rows)
+    """Forecast rows of a fitted tree model for the test and future parts.
+
+    Where the pipeline bins its features, many rows are alike to the trees: each kind is scored once, and the
+    rows take their kind's prediction.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    first = model.stages[0]
+    out = None
+    if isinstance(first, Bucketizer):
+        placed = stored(first.transform(rows), "tree-rows")
+        kinds = stored(placed.groupBy(*TREE_INPUTS).agg(*[F.min(c).alias(c) for c in TREE_OWN]), "tree-kinds")
+        if kinds.count() <= TREE_KINDS:
+            scored = kinds
+            for stage in model.stages[1:]:
+                scored = stage.transform(scored)
+            out = placed.join(F.broadcast(stored(scored.select(*TREE_INPUTS, "predicted"), "tree-scores")), list(TREE_INPUTS), "left")
+    out = model.transform(rows) if out is None else out
     none = F.lit(None).cast("double")
     return out.select(
         entity, F.lit(name).alias("model"), ts, F.col("label").alias("actual"), "predicted", none.alias("yhat_lower"),

@@ -395,3 +395,25 @@ def test_clusters_read_the_forecasts_once(spark):
     df = spark.createDataFrame(rows.map(lambda r: (seen.add(1), r)[1]), "server_id string, predicted_mean double, predicted_std double")
     assert {r.servers for r in risk.cluster_summary(risk.cluster_servers(df, ["predicted_mean", "predicted_std"], 2)).collect()} == {2}
     assert seen.value == 4
+
+
+def test_trees_fit_merged_rows(spark):
+    """Rows that no split tells apart are one weighted row: boosting finds the same trees, and each kind of row is scored once."""
+    rng = np.random.default_rng(5)
+    rows = [(f"s{s}", day("2021-01-01") + dt.timedelta(days=i), float(20 + s % 7 * 10 + (i % 7) * (s % 3) + rng.normal())) for s in range(70) for i in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    stats = forecast.tree_stats(df, "cpu", "2022-04-01")
+    train = forecast.tree_training(df, "cpu", "2022-04-01", stats=stats).cache()
+    bins = forecast.tree_bins(train)
+    merged = forecast.merged_training(train, bins).cache()
+    assert merged.count() < train.count() / 1.5
+    assert merged.agg(F.sum("weight")).first()[0] == train.agg(F.sum("weight")).first()[0] == 70 * 455
+    one, two = (forecast.tree_model("gradient_boost", 5, 4, bins=bins).fit(t) for t in (merged, train))
+    ahead = forecast.tree_rows(df, "cpu", "2022-04-01", 10, stats=stats)
+    scored = forecast.score_model(one, ahead, "m").orderBy("server_id", "timestamp").toPandas()
+    plain = one.transform(ahead).orderBy("server_id", "timestamp").toPandas()
+    assert len(scored) == len(plain) == 70 * 55 and scored.predicted.to_numpy() == pytest.approx(plain.predicted.to_numpy(), rel=1e-12)
+    assert scored.predicted.to_numpy() == pytest.approx(two.transform(ahead).orderBy("server_id", "timestamp").toPandas().predicted.to_numpy(), rel=1e-9)
+    forest = forecast.fit_trees(train, "random_forest", 5, 4)
+    found = {r.feature: r.importance for r in forecast.feature_importance(spark, forest).collect()}
+    assert set(found) == set(forecast.TREE_FEATURES) and sum(found.values()) == pytest.approx(1.0) and found["server_mean"] + found["weekday_mean_y"] > 0.9
