@@ -20,16 +20,26 @@ from .segments import bin_of
 
 _ACCURACY = 10_000
 _CUTS = 1_000
+#: A table of so many ranks is sent to all executors; so many cuts of a bracket are compared one by one.
+_FEW = 2_000
+_UNROLLED = 64
 
 
-def _attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], more: Column | None = None, salts: int = P.SALTS) -> DataFrame:
-    """Inner join of a small table to the rows, NULL keys included; a hot key's rows are spread over ``salts``."""
+def _attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], more: Column | None = None, salts: int = P.SALTS, few: bool | None = None) -> DataFrame:
+    """Inner join of a small table to the rows, NULL keys included; a hot key's rows are spread over ``salts``.
+
+    A table of ``few`` rows goes to all executors, which needs no salts; else both sides are shuffled.
+    """
+    salts = 1 if few else salts
     mine = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in table.columns if c not in keys]).withColumn(
         "_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     meet = F.col("_salt") == F.col("_r_salt")
     for k in keys:
         meet = meet & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(salts)).cast("int"))
+    if few is not None:
+        # said here, as a stored column of few values is a tiny file of many rows, which the optimiser would send to all
+        salted, mine = (salted, F.broadcast(mine)) if few else (salted.hint("merge"), mine)
     return salted.join(mine, meet if more is None else meet & more).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
 
@@ -41,6 +51,23 @@ def _ranks(probs: Sequence[float], n: Column) -> Column:
     ) for p, x in zip(probs, h, strict=True)])
 
 
+def _near_ranks(sketch: DataFrame, state: DataFrame, bracket: Sequence[str], cuts: int) -> DataFrame:
+    """``bracket, _cuts``: of a bracket's sketch the cuts just before and behind the ranks looked for in it.
+
+    Only where the search goes on depends on them: a rank that they miss is in one of the bins beside them.
+    """
+    asked = state.groupBy(*bracket).agg(F.collect_list(F.col("_rank") - F.col("_below")).alias("_asked"))
+    theirs = asked.select(*[F.col(c).alias(f"_r{c}") for c in bracket], "_asked")
+    meet = F.lit(True)
+    for c in bracket:
+        meet = meet & F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    at = lambda r: F.floor(r * F.lit(cuts) / F.col("_many")).cast("int")
+    last = F.size("_all") - 1
+    pick = lambda r: F.array(*[F.get("_all", F.greatest(F.lit(0), F.least(at(r) + step, last))) for step in (-2, 1)])
+    near = F.array_sort(F.array_distinct(F.flatten(F.transform("_asked", pick))))
+    return sketch.join(theirs, meet).select(*bracket, near.alias("_cuts"))
+
+
 def select_ranks(data: DataFrame, keys: Sequence[str], wanted: DataFrame, accuracy: int = _ACCURACY, cuts: int = _CUTS) -> DataFrame:
     """``keys, _rank, _value``: the values of ``data (keys, _x)`` at the ranks of ``wanted (keys, _rank, _low, _high)``.
 
@@ -54,12 +81,16 @@ def select_ranks(data: DataFrame, keys: Sequence[str], wanted: DataFrame, accura
     done = many - left
     grid = [i / cuts for i in range(1, cuts)]
     while left:
+        few = left <= _FEW
         bracket = [*keys, "_low", "_high"]
-        brackets = state.select(*bracket, "_below").distinct()
-        inside = stored(_attach(data, brackets.drop("_below"), keys, (F.col("_x") >= F.col("_low")) & (F.col("_x") <= F.col("_high"))), "inside")
-        sketch = inside.groupBy(*bracket).agg(F.array_distinct(F.percentile_approx("_x", grid, accuracy)).alias("_cuts"))
-        placed = _attach(inside, sketch, bracket)
+        inside = stored(_attach(data, state.select(*bracket).distinct(), keys, (F.col("_x") >= F.col("_low")) & (F.col("_x") <= F.col("_high")), few=few), "inside")
+        sketch = inside.groupBy(*bracket).agg(F.count(F.lit(1)).alias("_many"), F.percentile_approx("_x", grid, accuracy).alias("_all"))
+        sketch = stored(_near_ranks(sketch, state, bracket, cuts), "cuts")
+        most = sketch.agg(F.max(F.size("_cuts"))).first()[0] or 0
+        placed = _attach(inside, sketch, bracket, few=few)
         at = bin_of(F.col("_x"), F.col("_cuts"), 32)
+        if most <= _UNROLLED:
+            at = sum([F.coalesce((F.get("_cuts", F.lit(i)) < F.col("_x")).cast("int"), F.lit(0)) for i in range(most)], F.lit(0))
         placed = placed.withColumn("_at", at)
         # an open bin before each cut, and the cut itself
         bins = placed.withColumn("_bin", F.col("_at") * 2 + F.coalesce((F.get("_cuts", F.col("_at")) == F.col("_x")).cast("int"), F.lit(0)))
@@ -73,7 +104,7 @@ def select_ranks(data: DataFrame, keys: Sequence[str], wanted: DataFrame, accura
         narrowed = state.join(theirs, meet).select(
             *keys, "_rank", F.col("_least").alias("_low"), F.col("_most").alias("_high"), (F.col("_below") + F.col("_upto") - F.col("_n")).alias("_below"))
         narrowed = stored(narrowed, "ranks")
-        forget(inside)
+        forget(inside, sketch)
         found.append(narrowed.where("_low = _high"))
         state = narrowed.where("_low < _high")
         now = state.count()
@@ -96,8 +127,12 @@ def exact_quantiles(
     accuracy: int = _ACCURACY,
     cuts: int = _CUTS,
 ) -> DataFrame:
-    """Long table ``keys, prob, quantile`` with linear interpolation; NULL values are ignored, NULL keys are a group."""
-    data = stored(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x")), "values")
+    """Long table ``keys, prob, quantile`` with linear interpolation; NULL values are ignored, NULL keys are a group.
+
+    The values are stored, unless ``df`` is a stored table itself.
+    """
+    data = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    data = data if hasattr(df, "stored_at") else stored(data, "values")
     blend = lambda a, b, part: a + (b - a) * part
     sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
     large = stored(sizes.where(F.col("_n") > accuracy), "sizes")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params as P
+from ..functions.sizing import stored
 from .quantiles import exact_quantiles, melt
 from .segments import overall_totals, with_row_windows
 
@@ -31,7 +32,8 @@ def describe_stats(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95),
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact percentiles per metric (and key)."""
-    long = melt(df.select(*keys, *columns), columns, keys)
+    # statistics and percentiles both read it
+    long = stored(melt(df.select(*keys, *columns), columns, keys), "long")
     group = [*keys, "metric"]
     basic = long.groupBy(*group).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -237,9 +239,11 @@ def load_summary(df: DataFrame, columns: Sequence[str], removed: Column, entity:
 
 def generation_summary(df: DataFrame, entity: str = P.ENTITY) -> DataFrame:
     """Rows, servers, missing CPU percent, mean CPU and memory, exact P95 CPU."""
-    servers = df.select(entity).distinct().agg(F.count(F.lit(1))).scalar()
-    p95 = exact_quantiles(df.select("cpu_p95"), [], "cpu_p95", [0.95]).select("quantile").scalar()
-    one = df.agg(
+    # servers, means and the percentile all read it
+    held = stored(df.select(entity, "cpu_p95", "mem_p95"), "panel")
+    servers = held.select(entity).distinct().agg(F.count(F.lit(1))).scalar()
+    p95 = exact_quantiles(held, [], "cpu_p95", [0.95]).select("quantile").scalar()
+    one = held.agg(
         F.count(F.lit(1)).alias("rows"), (F.avg(F.when(F.col("cpu_p95").isNull(), 1.0).otherwise(0.0)) * 100).alias("missing_rate_cpu"),
         F.avg("cpu_p95").alias("mean_cpu_p95"), F.avg("mem_p95").alias("mean_mem_p95"))
     return one.withColumns({"unique_servers": servers, "p95_cpu_p95": p95})

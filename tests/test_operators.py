@@ -417,3 +417,35 @@ def test_trees_fit_merged_rows(spark):
     forest = forecast.fit_trees(train, "random_forest", 5, 4)
     found = {r.feature: r.importance for r in forecast.feature_importance(spark, forest).collect()}
     assert set(found) == set(forecast.TREE_FEATURES) and sum(found.values()) == pytest.approx(1.0) and found["server_mean"] + found["weekday_mean_y"] > 0.9
+
+
+def test_quantile_rows_are_never_sent_to_all(spark):
+    """A stored column of few values is a tiny file of many rows: brackets go to the rows, not rows to the driver."""
+    from headroom.functions.sizing import stored
+
+    data = stored(spark.range(300_000).select((F.col("id") % 3).cast("double").alias("_x")), "values")
+    brackets = spark.createDataFrame([(0.0, 2.0)] * 2000, "_low double, _high double")
+    inside = (F.col("_x") >= F.col("_low")) & (F.col("_x") <= F.col("_high"))
+    plan = lambda few: quantiles._attach(data, brackets, [], inside, few=few)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan(True) and "BuildLeft" not in plan(True)
+    assert "Broadcast" not in plan(False) and "SortMergeJoin" in plan(False)
+    got = quantiles.exact_quantiles(data.select("_x"), [], "_x", [0.3, 0.5, 0.95]).orderBy("prob").collect()
+    assert [r.quantile for r in got] == [0.0, 1.0, 2.0]
+
+
+def test_built_panels_are_shuffled_once(spark):
+    """Interpolation, capping and the feature matrix work where the filled calendar lies; the matrix equals that by rows."""
+    rows = [r for r in series(400, "2022-01-01", holes=0.3) if r[2] is not None]
+    df = spark.createDataFrame(rows, SCHEMA)
+    full = regularise.fill_calendar(df)
+    filled = clean.interpolate_linear(full, ["cpu"], regular=segments.BUILT)
+    assert len(_exchanges(clean.winsorize_rolling_z(filled, ["cpu"], regular=segments.BUILT))) == 1
+    meta = spark.createDataFrame([("s0", "x"), ("s1", "y")], "server_id string, kind string")
+    made = dict(metrics=["cpu"], lags=(1, 7), windows=(7, 30), category_values={"kind": ["x", "y"]})
+    one = features.feature_matrix(full, meta.hint("merge"), regular=segments.BUILT, **made)
+    # one shuffle of the observed rows, one of the metadata; two more find the first day
+    assert len(_exchanges(one)) == 4
+    one, two = (m.orderBy("server_id", "timestamp").toPandas() for m in (one, features.feature_matrix(full, meta, **made)))
+    assert list(one.columns) == list(two.columns) and len(one) == len(two) > 600
+    for c in one.columns:
+        assert (one[c] == two[c]).all() if one[c].dtype == object else one[c].to_numpy() == pytest.approx(two[c].to_numpy(), rel=1e-9)
