@@ -110,7 +110,7 @@ def _matrix_sql() -> str:
 def feature_matrix(spark, folder):
     """The whole matrix, summed up per server so that the comparison stays readable."""
     dims = panels.supplier_dimension(spark, folder).select("server_id", "criticality")
-    matrix = features.feature_matrix(panels.supplier_spine(spark, folder), dims)
+    matrix = features.feature_matrix(panels.supplier_spine(spark, folder), dims, regular=BUILT)
     hot = [c for c in matrix.columns if c.startswith("cri_")]
     return matrix.groupBy("server_id").agg(
         F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in [*_MATRIX_COLS, *_CAL]], *[F.sum(c).alias(c) for c in hot])

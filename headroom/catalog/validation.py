@@ -109,7 +109,7 @@ def generation_summary(spark, folder):
 @register("feature_summary", sql("spine", """SELECT count(*) AS input_rows, (count(*) - 90 * count(DISTINCT server_id)) AS output_rows, 2 + 2 + 10 + 16 + 2 + 5 + 1 AS columns, 10 AS lag_columns, 16 AS rolling_columns FROM spine"""))
 def feature_summary(spark, folder):
     daily = panels.supplier_spine(spark, folder).select("server_id", "timestamp", "cpu_p95", "mem_p95")
-    matrix = features.feature_matrix(daily, metrics=["cpu_p95", "mem_p95"], windows=(7, 90))
+    matrix = features.feature_matrix(daily, metrics=["cpu_p95", "mem_p95"], windows=(7, 90), regular=BUILT)
     lag, roll = features.lag_rolling_counts(matrix.columns)
     return daily.agg(F.count(F.lit(1)).alias("input_rows")).withColumns({
         "output_rows": matrix.agg(F.count(F.lit(1))).scalar(), "columns": F.lit(len(matrix.columns)), "lag_columns": F.lit(lag), "rolling_columns": F.lit(roll)})
