@@ -488,10 +488,10 @@ def tree_model(kind: str = "random_forest", trees: int = 150, depth: int | None
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    # rows keep their nodes' numbers, so that no level sends the trees grown so far from the driver
-    shape = dict(featuresCol="features", labelCol="label", weightCol="weight", predictionCol="predicted", seed=seed, maxMemoryInMB=256, cacheNodeIds=True)
+    shape = dict(featuresCol="features", labelCol="label", weightCol="weight", predictionCol="predicted", seed=seed, maxMemoryInMB=256)
     if kind == "random_forest":
-        model = RandomForestRegressor(numTrees=trees, maxDepth=depth or 12, minInstancesPerNode=2, featureSubsetStrategy="all", **shape)
+        # rows keep their nodes' numbers, so that no level sends the trees grown so far from the driver
+        model = RandomForestRegressor(numTrees=trees, maxDepth=depth or 12, minInstancesPerNode=2, featureSubsetStrategy="all", cacheNodeIds=True, **shape)
     else:
         model = GBTRegressor(maxIter=trees, maxDepth=depth or 6, stepSize=rate, **shape)
     inputs = TREE_FEATURES if bins is None else TREE_INPUTS
